@@ -30,11 +30,13 @@ from pyspark.sql import types as T
 from . import common as C
 
 MAGIC = b"TWR1"
-SCALE_BITS, LANES, STEPS, CHECK_STEPS = 22, 512, 256, 128
+SCALE_BITS, LANES, STEPS, CHECK_STEPS = 20, 2048, 512, 256
 #: Ids a shard holds at most, unless one document is longer; bounds what a reader keeps in memory.
 SHARD_IDS = 4 << 20
-#: Words kept with their ids by a worker; beyond it the store starts anew.
-WORD_STORE = 300_000
+#: Size of a worker's word table; at 60 % it starts anew.
+TABLE_BITS = 21
+#: Keeps words apart in one call, and how many a call takes.
+MARK, PER_CALL = "\x02", 200
 _U = np.uint64
 _LOW = _U(1) << _U(31)
 
@@ -42,11 +44,56 @@ _LOW = _U(1) << _U(31)
 # -- tokenizer --------------------------------------------------------------------------------
 
 
+class WordTable:
+    """Ids of words by 64-bit content hash: open addressing in arrays, looked up and filled many words at a time."""
+
+    def __init__(self, bits: int, code: str):
+        self.bits, self.mask = bits, (1 << bits) - 1
+        self.keys, self.entry = np.zeros(1 << bits, _U), np.zeros(1 << bits, np.int32)
+        self.flat, self.used = np.zeros(1 << 16, code), 0
+        self.offset, self.length, self.n = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 0
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The entry of each hash, or -1."""
+        out = np.full(len(h), -1, np.int64)
+        todo, at = np.arange(len(h)), (h >> _U(64 - self.bits)).astype(np.int64)
+        while len(todo):
+            k = self.keys[at]
+            hit = k == h[todo]
+            out[todo[hit]] = self.entry[at[hit]]
+            on = ~hit & (k != 0)
+            todo, at = todo[on], (at[on] + 1) & self.mask
+        return out
+
+    def add(self, h: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """New entries for different hashes that aren't in the table."""
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.n + len(h) > len(self.offset):
+            self.offset, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.offset, self.length))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.offset[self.n : self.n + len(h)] = self.used + np.cumsum(lengths) - lengths
+        self.length[self.n : self.n + len(h)] = lengths
+        todo, at = np.arange(len(h)), (h >> _U(64 - self.bits)).astype(np.int64)
+        while len(todo):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = h[todo[free]]
+            mine = free & (self.keys[at] == h[todo])
+            self.entry[at[mine]] = self.n + todo[mine]
+            todo, at = todo[~mine], at[~mine]
+            step = self.keys[at] != 0
+            at = np.where(step, (at + 1) & self.mask, at)
+        self.used += len(ids)
+        self.n += len(h)
+
+
 class WordEncoder:
     """Ids of whole texts, the same as the tokenizer gives for them; each distinct word is encoded once.
 
     Words are runs between spaces and newlines, which this kind of tokenizer always drops, so the ids of a text are
-    those of its words in order. ``separable`` checks the tokenizer for that; if it fails, texts are encoded whole.
+    those of its words in order. It lower-cases, so A-Z are lower-cased first unless a special token may stand there;
+    and a last comma or full stop after a letter a-z is a piece of its own, so it is taken as a word of its own.
+    ``separable`` checks the tokenizer for all that; if it fails, texts are encoded whole.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -55,57 +102,109 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tok, self.end, self.store = Tokenizer.from_file(path), np.array([end_id], "<u4").tobytes(), {}
+        self.tok = Tokenizer.from_file(path)
         self.vocab = max(self.tok.get_vocab_size(with_added_tokens=True), end_id + 1)
+        self.code, self.kind = ("<u2", "H") if self.vocab <= 1 << 16 else ("<u4", "I")
+        self.end_id = end_id
         self.by_word = self.separable()
-        if self.vocab <= 1 << 16:
-            self.end = np.array([end_id], "<u2").tobytes()
-        self.code = "<u2" if self.vocab <= 1 << 16 else "<u4"
+        mark = self.tok.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.table = WordTable(TABLE_BITS, self.code)
 
     def separable(self) -> bool:
         d = json.loads(self.tok.to_str())
         kinds = json.dumps(d.get("normalizer")) + json.dumps(d.get("pre_tokenizer"))
-        drops = '"behavior": "Removed", "invert": true' in kinds and "\\\\s\\\\p{L}\\\\p{N}" in kinds
+        drops = '"behavior": "Removed", "invert": true' in kinds and "|[\\\\p{L}]+|[\\\\p{N}]|[^\\\\s\\\\p{L}\\\\p{N}]+" in kinds and '"Lowercase"' in kinds
         return drops and not any(t.get("lstrip") or t.get("rstrip") for t in d.get("added_tokens", []))
 
-    def _learn(self, new: list[str]) -> None:
-        if len(self.store) + len(new) > WORD_STORE:
-            self.store.clear()
-        code = self.code
-        for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
-            self.store[w] = np.array(e.ids, code).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _of_words(self, new: list[str]) -> list[np.ndarray]:
+        """Ids of words, PER_CALL encoded in one string: a mark that is one id, and in no word, keeps them apart."""
+        out: list = [None] * len(new)
+        alone = [i for i, w in enumerate(new) if self.mark is None or MARK in w]
+        for i, e in zip(alone, self.tok.encode_batch_fast([new[i] for i in alone], add_special_tokens=False) if alone else []):
+            out[i] = np.array(e.ids, self.code)
+        rest = [i for i, w in enumerate(new) if not (self.mark is None or MARK in w)]
+        parts = [rest[i : i + PER_CALL] for i in range(0, len(rest), PER_CALL)]
+        texts = [f" {MARK} ".join([new[i] for i in p]) + f" {MARK}" for p in parts]
+        for part, e in zip(parts, self.tok.encode_batch_fast(texts, add_special_tokens=False) if parts else []):
+            ids = np.array(e.ids, self.code)
+            lo = 0
+            for i, hi in zip(part, np.flatnonzero(ids == self.mark).tolist(), strict=True):
+                out[i] = ids[lo:hi]
+                lo = hi + 1
+        return out
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all documents, each followed by the end id; ids per document)."""
+        n = len(offsets) - 1
         if not self.by_word:
-            return [np.array(e.ids, self.code).tobytes() + self.end for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        need = set().union(*split)
-        new = need.difference(self.store)
-        if len(self.store) + len(new) > WORD_STORE:
-            self.store.clear()
-            new = need
-        self._learn(list(new))
-        got = self.store.__getitem__
-        return [b"".join(map(got, s)) + self.end for s in split]
+            raw = data.tobytes()
+            texts = [raw[offsets[i] : offsets[i + 1]].decode() for i in range(n)]
+            got = [np.array([*e.ids, self.end_id], self.code) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+            return (np.concatenate(got) if got else np.zeros(0, self.code)), np.array([len(g) for g in got], np.int64)
+        if b"<|" not in data.tobytes():
+            data = _LOWER[data]
+        doc, starts, ends = self._words(data, offsets)
+        h = C.span_hash(C.prefix_hash(data), starts, ends)
+        h[h == 0] = 1
+        entry = self.table.find(h)
+        if (entry < 0).any():
+            if self.table.n + int((entry < 0).sum()) > (1 << TABLE_BITS) * 6 // 10:
+                self.table = WordTable(TABLE_BITS, self.code)
+                entry[:] = -1
+            new, first = np.unique(h[entry < 0], return_index=True)
+            first = np.flatnonzero(entry < 0)[first]
+            raw = data.tobytes()
+            ids = self._of_words([raw[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist())])
+            self.table.add(new, np.concatenate(ids), np.array([len(i) for i in ids], np.int64))
+            entry[entry < 0] = self.table.find(h[entry < 0])
+        length = self.table.length[entry]
+        total = int(length.sum())
+        at = np.repeat(self.table.offset[entry] - (np.cumsum(length) - length), length) + np.arange(total)
+        out = np.full(total + n, self.end_id, self.code)
+        out[np.arange(total) + np.repeat(doc, length)] = self.table.flat[at]
+        return out, (np.bincount(doc, length, n) if len(doc) else np.zeros(n)).astype(np.int64) + 1
+
+    @staticmethod
+    def _words(data: np.ndarray, offsets: np.ndarray):
+        inside = (data != 0x20) & (data != 0x0A)
+        before, after = np.empty_like(inside), np.empty_like(inside)
+        before[:1], before[1:] = False, inside[:-1]
+        after[-1:], after[:-1] = False, inside[1:]
+        cut = offsets[(offsets > 0) & (offsets < len(data))]
+        before[cut], after[cut - 1] = False, False
+        first, last = inside & ~before, inside & ~after
+        tail = np.flatnonzero(last & ~first & ((data == 0x2C) | (data == 0x2E)))
+        tail = tail[(data[tail - 1] >= 97) & (data[tail - 1] <= 122)]
+        first[tail], last[tail - 1] = True, True
+        starts = np.flatnonzero(first)
+        return np.searchsorted(offsets, starts, "right") - 1, starts, np.flatnonzero(last) + 1
+
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_encoders: dict[tuple[str, int], WordEncoder] = {}
+
+
+def encoder(path: str, end_id: int) -> WordEncoder:
+    """One encoder a worker process, so its words outlive a task."""
+    if (path, end_id) not in _encoders:
+        _encoders[path, end_id] = WordEncoder(path, end_id)
+    return _encoders[path, end_id]
 
 
 def encode_texts(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """doc_id, n_tokens, ids (packed little-endian, 2 or 4 bytes each) of every whole text, end id included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = WordEncoder(tokenizer_path, end_id)
+        enc = encoder(tokenizer_path, end_id)
         width = np.dtype(enc.code).itemsize
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            lo = 0
-            while lo < len(texts):
-                hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= C.CHUNK_BYTES):
-                    size += len(texts[hi])
-                    hi += 1
-                ids = enc.encode(texts[lo:hi])
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array([len(i) // width for i in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
-                lo = hi
+            for lo, hi, data, offsets in C.chunks(b.column(1)):
+                ids, counts = enc.encode(data, offsets)
+                ends = np.concatenate([[0], np.cumsum(counts)]) * width
+                packed = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(ends.astype("<i4").tobytes()), pa.py_buffer(ids.tobytes())])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(counts), packed], names=["doc_id", "n_tokens", "ids"])
 
     C.small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
@@ -115,15 +214,17 @@ def encode_texts(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame
 
 
 def scaled(counts: np.ndarray) -> np.ndarray:
-    """Frequencies that sum to 2**SCALE_BITS, at least 1 for every id, so each id can be coded."""
-    total, n = 1 << SCALE_BITS, len(counts)
-    if n > total // 2:
-        raise ValueError(f"{n} ids don't fit a table of 2**{SCALE_BITS}")
-    share = counts.astype(np.float64) * (total - n) / max(1, counts.sum())
-    freq = 1 + np.floor(share).astype(np.int64)
-    rest = total - int(freq.sum())
-    freq[np.argsort(-(share - np.floor(share)), kind="stable")[: rest % n]] += 1
-    freq[int(np.argmax(freq))] += total - int(freq.sum())
+    """Frequencies that sum to 2**SCALE_BITS, at least 1 for every id that occurs and 0 for others."""
+    total, seen = 1 << SCALE_BITS, np.flatnonzero(counts)
+    freq = np.zeros(len(counts), np.int64)
+    if not len(seen):
+        freq[0] = total
+        return freq.astype(np.uint32)
+    if len(seen) > total // 2:
+        raise ValueError(f"{len(seen)} ids don't fit a table of 2**{SCALE_BITS}")
+    share = counts[seen] * ((total - len(seen)) / counts.sum())
+    freq[seen] = 1 + np.floor(share).astype(np.int64)
+    freq[seen[int(np.argmax(share))]] += total - int(freq.sum())
     return freq.astype(np.uint32)
 
 
@@ -139,7 +240,8 @@ class Coder:
     @property
     def symbols(self) -> np.ndarray:
         if self._symbols is None:
-            self._symbols = np.repeat(np.arange(len(self.freq), dtype=np.uint32), self.freq.astype(np.int64))
+            kind = np.uint16 if len(self.freq) <= 1 << 16 else np.uint32
+            self._symbols = np.repeat(np.arange(len(self.freq), dtype=kind), self.freq.astype(np.int64))
         return self._symbols
 
     def encode(self, ids: np.ndarray) -> bytes:
@@ -261,7 +363,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer_path: str, end_id: in
     """
     spark = docs.sparkSession
     ids = C.write_table(encode_texts(docs, tokenizer_path, end_id), "token-ids")
-    probe = WordEncoder(tokenizer_path, end_id)
+    probe = encoder(tokenizer_path, end_id)
     vocab, code = probe.vocab, probe.code
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
