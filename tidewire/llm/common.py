@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker turns into arrays at a time; a longer document is taken alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: Rows in an Arrow batch: documents may hold 100 KB or more, so a batch stays small.
 ARROW_ROWS = 512
 

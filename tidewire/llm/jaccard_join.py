@@ -30,7 +30,7 @@ K_WORDS, THRESHOLD = 5, (4, 5)
 BANDS, ROWS = 25, 5
 TOLERANCE = 1e-7
 STEPS = (8, 16, 32)
-BLOCK = 2048
+BLOCK = 1024
 _U = np.uint64
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
