@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, line_rules, mixing, quality_model, token_files
+from . import jaccard_join, lang_id, line_rules, mixing, quality_model, token_files, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_jaccard_join": jaccard_join.op3,
         "op5_line_rules": line_rules.op5,
         "op6_quality_model": quality_model.op6,
+        "op7_url_filter": url_filter.op7,
+        "op8_warc_index": warc.op8,
+        "op9_language_id": lang_id.op9,
     }
 
 
