@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, lang_id, line_rules, mixing, quality_model, token_files, url_filter, warc
+from . import decontaminate, jaccard_join, lang_id, line_rules, mixing, quality_model, token_files, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_url_filter": url_filter.op7,
         "op8_warc_index": warc.op8,
         "op9_language_id": lang_id.op9,
+        "op10_decontaminate": decontaminate.op10,
     }
 
 
