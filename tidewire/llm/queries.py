@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, lang_id, line_rules, mixing, quality_model, token_files, url_filter, warc
+from . import decontaminate, jaccard_join, lang_id, line_rules, mixing, quality_model, suffix_dedup, token_files, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_files": token_files.op1,
         "op2_source_mix": mixing.op2,
         "op3_jaccard_join": jaccard_join.op3,
+        "op4_suffix_dedup": suffix_dedup.op4,
         "op5_line_rules": line_rules.op5,
         "op6_quality_model": quality_model.op6,
         "op7_url_filter": url_filter.op7,
