@@ -14,7 +14,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(v, c) for each vertex of edges (v, u): c is the least vertex of its component.
 
     Every round is a written table, so lineage stays short and a lost executor costs one read. A hub's edges are
-    pre-aggregated before the shuffle for its minimum; the join back is one that adaptive execution can split.
+    pre-aggregated before the shuffle for its minimum; the minima are written, so that the join back has plain
+    exchanges on both sides, which adaptive execution can split.
     Terminates when a round changes no edge; the number of rounds grows with the logarithm of the longest path.
     """
     e = C.write_table(edges.select("v", "u").filter("v <> u").select(F.greatest("v", "u").alias("v"), F.least("v", "u").alias("u")).distinct(), "edges")
@@ -22,10 +23,10 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         # Large star: every larger neighbour of x is linked to the least of x and its neighbours.
         both = e.unionByName(e.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("m"))
-        large = both.filter("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).filter("v <> u").distinct()
+        least = C.write_table(both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("m")), "least")
+        large = C.write_table(both.filter("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).filter("v <> u").distinct(), "edges")
         # Small star: every smaller neighbour of x and x itself are linked to the least of them.
-        down = large.groupBy("v").agg(F.min("u").alias("m"))
+        down = C.write_table(large.groupBy("v").agg(F.min("u").alias("m")), "least")
         joined = large.join(down, "v")
         small = joined.select(F.col("u").alias("v"), F.col("m").alias("u")).filter("v <> u").unionByName(down.select("v", F.col("m").alias("u")))
         e = C.write_table(small.distinct(), "edges")

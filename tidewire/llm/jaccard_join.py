@@ -234,8 +234,9 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = C.write_table(sig.filter("has_words").groupBy("th").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "texts")
     keys = sig.filter("has_words").select(_short("th").alias("v"), F.explode("bands").alias("b"))
     roots = keys.groupBy("b").agg(F.min("v").alias("u"), F.max("v").alias("w")).filter("u < w").select("b", "u")
+    roots = C.write_table(roots, "buckets")  # written tables leave the joins to exchanges that can be split
     comp = C.write_table(components(keys.join(roots, "b").select("v", "u")), "candidates")
-    sizes = comp.groupBy("c").agg(F.count("*").alias("n"))
+    sizes = C.write_table(comp.groupBy("c").agg(F.count("*").alias("n")), "sizes")
     spread = texts.withColumn("v", _short("th")).join(comp, "v").join(sizes, "c")
     spread = spread.withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("mine", F.pmod(F.xxhash64("th"), F.col("k")).cast("int"))
     wanted = spread.select(F.col("th").alias("w_th"), "rep", "copies", "c", "k", "mine")
@@ -265,7 +266,7 @@ def join_near(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, class_id (least doc_id of its class), n_links (other documents at the threshold or above,
     copies of its own text included), n_texts (other texts among them), n_copies (copies of its own text)."""
     rows, texts = near_classes(docs)
-    ids = texts.groupBy("root").agg(F.min("rep").alias("class_id"))
+    ids = C.write_table(texts.groupBy("root").agg(F.min("rep").alias("class_id")), "class-ids")
     texts = texts.join(ids, "root").select("th", "class_id", "copies", "links", "text_links")
     out = rows.join(texts, "th", "left")
     return out.select("doc_id", F.when(F.col("has_words"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), F.when(F.col("has_words"), F.col("links") + F.col("copies") - 1).otherwise(0).cast("long").alias("n_links"), F.when(F.col("has_words"), F.col("text_links")).otherwise(0).cast("long").alias("n_texts"), F.when(F.col("has_words"), F.col("copies") - 1).otherwise(0).cast("long").alias("n_copies"))
