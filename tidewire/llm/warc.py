@@ -238,6 +238,7 @@ def write_archives(pages: DataFrame, out: str) -> DataFrame:
     keyed = rows.withColumn("sha", F.unhex(F.sha1("body")))
     # Digests that occur once need no join: only the others' winners are kept, by digest, with their largest page_id.
     winners = keyed.groupBy("sha").agg(F.max("page_id").alias("best"), F.count("*").alias("n")).filter("n > 1").select(F.col("sha").alias("w_sha"), "best")
+    winners = C.write_table(winners, "winners")  # so that a hot digest's rows can be split in the join
     joined = keyed.join(winners, F.col("sha") == F.col("w_sha"), "left").select("page_id", "url", "body", "sha", F.col("w_sha").isNotNull().alias("shared"), "best")
 
 
