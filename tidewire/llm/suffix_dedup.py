@@ -304,11 +304,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     C.small_batches(docs.sparkSession)
     keyed = _with_key(docs)
     found = C.write_table(keyed.mapInArrow(_find, "key long, ctx long, t1 long, t2 long, doc_id long, at int, lo int, hi int"), "anchors")
+    # Tables written before a join leave both its sides to plain exchanges, which adaptive execution can split.
     twice = found.groupBy("key").agg(F.count("*").alias("n"), F.min("ctx").alias("c1"), F.max("ctx").alias("c2")).filter("n > 1").select("key", (F.col("c1") != F.col("c2")).alias("mixed"))
+    twice = C.write_table(twice, "repeated-keys")
     found = C.write_table(found.join(twice, "key"), "repeated-anchors")
     counted = C.write_table(found.groupBy("key", "ctx").agg(F.count("*").alias("n"), F.first("mixed").alias("mixed")), "contexts")
     item = F.struct("key", "ctx", "at", "lo", "hi", "mixed")
     of_text = found.groupBy("t1", "t2").agg(F.collect_set(item).alias("items"), F.min("doc_id").alias("rep_id"))
+    of_text = C.write_table(of_text, "text-anchors")
     settled = keyed.join(of_text, ["t1", "t2"], "left").select("doc_id", "t1", "t2", "text", F.col("doc_id").eqNullSafe(F.col("rep_id")).alias("rep"), "items").mapInArrow(_settle, _KEEP)
     settled = C.write_table(settled, "settled")
     open_ = settled.filter("items IS NOT NULL")
@@ -320,6 +323,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     spans = found.join(whole, ["key", "ctx"]).select("t1", "t2", F.struct(F.col("lo").alias("s"), F.col("hi").alias("e")).alias("x"))
     parts = found.join(repeats, ["key", "ctx"]).select("t1", "t2", "at", F.explode("ranges").alias("r")).select("t1", "t2", F.struct((F.col("at") + F.col("r.a")).alias("s"), (F.col("at") + F.col("r.b")).alias("e")).alias("x"))
     spans = spans.unionByName(parts).groupBy("t1", "t2").agg(F.collect_set("x").alias("spans"))
+    spans = C.write_table(spans, "spans")
     cut = open_.select("doc_id", "t1", "t2", "text").join(spans, ["t1", "t2"], "left").select("doc_id", "text", "spans").mapInArrow(_remove, RESULT)
     same = settled.filter("items IS NULL").select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), "kept_sha256")
     return cut.unionByName(same)
