@@ -288,7 +288,7 @@ def plain_array(code: int, v: np.ndarray, nested: bool) -> pa.Array:
     elif code == 13:
         days = np.clip(months_to_days(np.where(null, 0, v)), LEAST_DAY, MOST_DAY)
     else:
-        ns = np.clip(v.astype(np.int64) * CLOCK_NS[code], 0, DAY_NS - 1)
+        ns = np.minimum(np.clip(v.astype(np.int64), 0, DAY_NS // CLOCK_NS[code]) * CLOCK_NS[code], DAY_NS - 1)
         return pa.array(np.where(null, 0, ns), pa.int64(), mask=null).cast(k.arrow)
     return pa.array(days.astype(np.int32), pa.int32(), mask=null).cast(k.arrow)
 
