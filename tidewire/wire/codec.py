@@ -137,9 +137,12 @@ class Reader:
     def symbols(self, n: int) -> pa.Array:
         """n symbols, each ended by a zero byte."""
         rest = np.frombuffer(self.data[self.pos :], np.uint8)
-        ends = np.flatnonzero(rest == 0)[:n] if n else np.zeros(0, np.int64)
-        if len(ends) < n:
-            raise DecodeError(f"{n} symbols at byte {self.pos}, of which {len(ends)} have an end")
+        look, ends = 16 * n + 64, np.zeros(0, np.int64)
+        while n and len(ends) < n:  # the message may go on for long after the symbols
+            ends = np.flatnonzero(rest[:look] == 0)[:n]
+            if len(ends) < n and look >= len(rest):
+                raise DecodeError(f"{n} symbols at byte {self.pos}, of which {len(ends)} have an end")
+            look *= 4
         stop = int(ends[-1]) + 1 if n else 0
         raw = bytes(self.take(stop))
         try:
@@ -179,14 +182,18 @@ class Reader:
         code, sizes, raws = self.data[self.pos] if self.pos < len(self.data) else 0, np.zeros(n, np.int64), []
         if code not in KINDS:
             return None
-        for i in range(n):
-            t = self.byte()
-            if t == 0 and i and self.count() == 0:
-                continue
-            if t != code:
-                return None
-            sizes[i] = self.count()
-            raws.append(self.symbols(int(sizes[i])) if code == 11 else self.take(int(sizes[i]) * KINDS[code].width))
+        if (even := self._even(n, code)) is not None:
+            sizes[:], raws = even[0], [even[1]]
+        else:
+            for i in range(n):
+                t = self.byte()
+                if t == 0 and i and self.count() == 0:
+                    continue
+                if t != code:
+                    return None
+                size = self.count()
+                sizes[i] = size
+                raws.append(self.symbols(size) if code == 11 else self.take(size * KINDS[code].width))
         offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
         if code == 10:
             raw = b"".join(raws)
@@ -203,6 +210,20 @@ class Reader:
         field = pa.field("item", values.type, metadata={b"ktype": str(code).encode()})
         return Vector(0, pa.ListArray.from_arrays(offsets, values, type=pa.list_(field)))
 
+    def _even(self, n: int, code: int) -> tuple[int, np.ndarray] | None:
+        """(size, raw items) of n lists of one size, which need no walk; None if they aren't."""
+        if code == 11 or self.pos + 6 > len(self.data):
+            return None
+        size = struct.unpack_from("<i", self.data, self.pos + 2)[0]
+        step = 6 + size * KINDS[code].width
+        if size < 0 or self.pos + n * step > len(self.data):
+            return None
+        grid = np.frombuffer(self.data[self.pos : self.pos + n * step], np.uint8).reshape(n, step)
+        if not (grid[:, :6] == grid[0, :6]).all():
+            return None
+        self.pos += n * step
+        return size, np.ascontiguousarray(grid[:, 6:]).reshape(-1)
+
     def table(self) -> pa.Table:
         if self.byte() != DICT:
             raise DecodeError(f"a table's columns at byte {self.pos - 1} aren't a dictionary")
@@ -452,17 +473,45 @@ def encode_array(array: pa.Array | pa.ChunkedArray, code: int | None = None) ->
     raise EncodeError(f"an array of {t} can't be encoded")
 
 
+def _spread(data: np.ndarray, offsets: np.ndarray, before: int, after: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes with room before and after each item, where each item's room starts)."""
+    n = len(offsets) - 1
+    starts = offsets[:-1] + np.arange(n) * (before + after)
+    out = np.zeros(len(data) + n * (before + after), np.uint8)
+    if n and (sizes := np.diff(offsets)).min() == sizes.max():
+        out.reshape(n, -1)[:, before : before + sizes[0]] = data.reshape(n, -1)
+    elif n:
+        out[np.arange(len(data)) + np.repeat(np.arange(n) * (before + after) + before, sizes)] = data
+    return out, starts
+
+
+def _headed(kind: int, data: np.ndarray, offsets: np.ndarray, width: int) -> bytes:
+    """Each item of data as a list of its own; offsets are in bytes."""
+    out, starts = _spread(data, offsets, 6, 0)
+    counts = (np.diff(offsets) // width).astype("<i4").view(np.uint8).reshape(-1, 4)
+    out[starts] = kind
+    for j in range(4):
+        out[starts + 2 + j] = counts[:, j]
+    return out.tobytes()
+
+
 def _strings(array: pa.Array, code: int | None) -> bytes:
-    items = ["" if x is None else x for x in array.to_pylist()]
+    a = (pc.fill_null(array, "") if array.null_count else array).cast(pa.large_string())
+    n = len(a)
+    offsets = np.frombuffer(a.buffers()[1], np.int64)[a.offset : a.offset + n + 1] if n else np.zeros(1, np.int64)
+    raw = a.buffers()[2] if n else None
+    data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None and raw.size else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
     if code == 11:
-        return _head(11, len(items)) + b"".join(map(_symbol, items))
+        if (data == 0).any():
+            raise EncodeError("a symbol can't hold a zero byte")
+        return _head(11, n) + _spread(data, offsets, 0, 1)[0].tobytes()
     if code == 10:
-        raw = [x.encode("latin-1") for x in items]
-        if any(len(x) != 1 for x in raw):
+        chars = [x.encode("latin-1") for x in a.to_pylist()]
+        if any(len(x) != 1 for x in chars):
             raise EncodeError("a char column holds one character a row")
-        return _head(10, len(items)) + b"".join(raw)
-    raw = [x.encode() for x in items]
-    return _head(0, len(raw)) + b"".join([_head(10, len(x)) + x for x in raw])
+        return _head(10, n) + b"".join(chars)
+    return _head(0, n) + _headed(10, data, offsets, 1)
 
 
 def _lists(array: pa.Array) -> bytes:
@@ -478,5 +527,5 @@ def _lists(array: pa.Array) -> bytes:
         return _head(0, len(parts)) + b"".join(parts)
     whole = encode_array(array.flatten(), code)
     kind, width = whole[0], KINDS[whole[0]].width
-    bounds = (np.concatenate([[0], np.cumsum(sizes)]) * width + 6).tolist()
-    return _head(0, len(sizes)) + b"".join([_head(kind, n) + whole[a:b] for n, a, b in zip(sizes.tolist(), bounds, bounds[1:])])
+    offsets = np.concatenate([[0], np.cumsum(sizes)]) * width
+    return _head(0, len(sizes)) + _headed(kind, np.frombuffer(whole, np.uint8)[6:], offsets, width)
