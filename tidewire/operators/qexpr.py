@@ -59,12 +59,10 @@ def matches(left: DataFrame, right: DataFrame, ordinal: str) -> bool:
     """``x~y``: equal column names and types, and equal rows at each ordinal."""
     if [(f.name, f.dataType) for f in left.schema] != [(f.name, f.dataType) for f in right.schema]:
         return False
-    same = None
-    for c in left.columns:
-        e = left[c].eqNullSafe(right[c])
-        same = e if same is None else same & e
-    both = left.join(right, left[ordinal] == right[ordinal], "full_outer")
-    return both.filter(~F.coalesce(same, F.lit(False))).isEmpty()
+    here, there = F.struct(*left.columns), F.struct(*right.columns)
+    a = left.select(F.col(ordinal).alias("__a"), here.alias("__here"))
+    b = right.select(F.col(ordinal).alias("__b"), there.alias("__there"))
+    return a.join(b, F.col("__a") == F.col("__b"), "full_outer").filter(~F.col("__here").eqNullSafe(F.col("__there"))).isEmpty()
 
 
 def til(spark: SparkSession, n: int, name: str = "x") -> DataFrame:

@@ -45,7 +45,7 @@ def listen(connection, folder: str, until: Callable[[int], bool]) -> int:
 
 def updates(spark: SparkSession, folder: str, table: str, schema: T.StructType, syms: Sequence[str] = (), sym_column: str = "sym") -> DataFrame:
     """A stream of the rows of a table's update messages."""
-    files = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.msg").load(f"{folder}/table={table}")
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.msg").load(f"{folder}/table={table}")
     rows = decode_messages(files.select(F.col("content").alias("payload")), schema)
     return subscribed(rows, syms, sym_column)
 
