@@ -31,6 +31,8 @@ BANDS, ROWS = 25, 5
 TOLERANCE = 1e-7
 STEPS = (8, 16, 32)
 BLOCK = 1024
+#: Marks of a component's only block, and of a block compared with itself; else rows have their block's number.
+ALONE, SAME = -1, -2
 _U = np.uint64
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
@@ -192,8 +194,10 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen.setdefault((r[1], r[2]), r)
         rows = sorted(seen.values(), key=lambda r: (r[1], r[2]))
         side = np.array([r[1] for r in rows])
-        many = bool(side.max() >= 0)
-        cross = int((side == side[0]).sum()) if len(set(side.tolist())) > 1 else None
+        many = bool(side[0] != ALONE)
+        cross = None if side[0] in (ALONE, SAME) else int((side == side[0]).sum())
+        if cross == len(rows):  # two blocks, of which one has no texts
+            return None
         copies = np.array([r[3] for r in rows], np.int64)
         sets, sigs = [], []
         for _, _, data, offsets in C.chunks(pa.array([r[4] or "" for r in rows], pa.large_string())):
@@ -245,7 +249,7 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     others = F.when(F.col("k") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("k") - 1))
     pairs = body.select("c", "k", "mine", "w_th", "copies", "text", F.explode(others).alias("other"))
     group = F.struct("c", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    pairs = pairs.select(F.xxhash64(group).alias("g"), F.when(F.col("k") == 1, -1).otherwise(F.col("mine")).alias("side"), F.col("w_th").alias("th"), "copies", "text", "c")
+    pairs = pairs.select(F.xxhash64(group).alias("g"), F.when(F.col("k") == 1, ALONE).when(F.col("mine") == F.col("other"), SAME).otherwise(F.col("mine")).alias("side"), F.col("w_th").alias("th"), "copies", "text", "c")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     C.small_batches(spark)
     found = pairs.repartition(n, "g").sortWithinPartitions("g").select("g", "side", "th", "copies", "text").mapInArrow(_compare, "th binary, root binary, links long, text_links long, many boolean")
@@ -276,14 +280,15 @@ def drop_near(docs: DataFrame) -> DataFrame:
     """One document of each class stays, the one with the least doc_id (null ids last), once; documents without words stay."""
     _, texts = near_classes(docs)
     best = texts.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("z"), "rep", "th")).alias("b"))
-    keep = best.select(F.col("b.th").alias("k_th"), F.col("b.rep").alias("k_rep"))
+    th, k_th, k_rep = (C.free_name(docs, n) for n in ("th", "k_th", "k_rep"))
+    keep = C.write_table(best.select(F.col("b.th").alias(k_th), F.col("b.rep").alias(k_rep)), "kept")
     names = [F.col(f"`{c}`") for c in docs.columns]
-    th = C.free_name(docs, "th")
     keyed = docs.withColumn(th, C.text_key("text"))
-    worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    found = keyed.join(keep, (F.col(f"`{th}`") == F.col("k_th")) & F.col("doc_id").cast("long").eqNullSafe(F.col("k_rep"))).select(*names, th)
+    worded = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    same = (F.col(th) == F.col(k_th)) & F.col("doc_id").cast("long").eqNullSafe(F.col(k_rep))
+    found = keyed.join(keep, same).select(*names, th)
     # Equal rows only if a kept text has them: then one of each stays.
-    again = keyed.join(keep, (F.col(f"`{th}`") == F.col("k_th")) & F.col("doc_id").cast("long").eqNullSafe(F.col("k_rep")), "left_semi").groupBy(th).count().filter("count > 1")
+    again = keyed.join(keep, same, "left_semi").groupBy(th).count().filter("count > 1")
     found = found.dropDuplicates([th]) if not again.isEmpty() else found
     return found.select(*names).unionByName(docs.filter(~worded))
 
