@@ -27,8 +27,8 @@ from . import common as C
 
 WEIGHTS = (1.0, 2.0, 3.0)
 MAX_REPEATS = 3
-#: Words a block should hold, the most blocks of a plan, and blocks a shard should hold.
-BLOCK_WORDS, MAX_BLOCKS, SHARD_BLOCKS = 1 << 16, 1 << 16, 64
+#: Words a block should hold, the most blocks of a plan, and words a shard should hold; a shard holds a block at least.
+BLOCK_WORDS, MAX_BLOCKS, SHARD_WORDS = 1 << 16, 1 << 18, 1 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -118,7 +118,7 @@ def plan_mix(slim: DataFrame, source: str, size: str, doc_id: str, seed: int):
     near = near.withColumn("upto", F.sum("size").over(w)).filter(F.col("upto") - F.col("size") / 2 <= F.col("want"))
     cuts = {r["ix"]: r["cut"] for r in near.groupBy("ix").agg(F.max("h").alias("cut")).collect()}
     quotas = np.array([full[i] * blocks[i] + whole[i] + (edge[i] >= 0) if sizes[i] else 0 for i in range(len(sizes))], np.int64)
-    shards = max(1, math.ceil(int(quotas.sum()) / SHARD_BLOCKS)) if len(quotas) else 1
+    shards = max(1, min(int(quotas.sum()), math.ceil(sum(goal) / SHARD_WORDS)))
     shares = split_tree(quotas, shards, seed) if len(quotas) else np.zeros((1, 0), np.int64)
     plan: dict[tuple[int, int], list[int]] = {}
     for i in range(len(sizes)):
@@ -138,9 +138,15 @@ def mix_sources(docs: DataFrame, seed: int = 17, doc_id: str = "doc_id", source:
 
     mix_shards has an entry per time the mix takes the row: the output shard that holds that copy.
     """
+    out, _ = _mix(docs, seed, doc_id, source, text)
+    extra = [n if n not in {c.lower() for c in docs.columns} else C.free_name(docs, n) for n in ("mix_size", "mix_source", "mix_shards")]
+    return out.select("row.*", *[F.col(n).alias(x) for n, x in zip(("mix_size", "mix_source", "mix_shards"), extra)])
+
+
+def _mix(docs: DataFrame, seed: int, doc_id: str, source: str, text: str) -> tuple[DataFrame, int]:
     spark = docs.sparkSession
     slim = C.write_table(docs.select(F.col(doc_id).alias("id"), F.col(source).cast("string").alias("s"), n_words(F.col(text)).alias("n")), "mix-sizes")
-    rows, plan, _ = plan_mix(slim, "s", "n", "id", seed)
+    rows, plan, n_shards = plan_mix(slim, "s", "n", "id", seed)
     kind = T.StructType([T.StructField("k_source", T.StringType()), T.StructField("k_ix", T.IntegerType()), T.StructField("k_blocks", T.IntegerType()), T.StructField("k_size", T.LongType()), T.StructField("k_target", T.DoubleType()), T.StructField("k_cut", T.LongType())])
     by_source = spark.createDataFrame(rows, kind)
     by_block = spark.createDataFrame(plan, "k_ix int, k_block int, k_shards array<int>")
@@ -150,7 +156,7 @@ def mix_sources(docs: DataFrame, seed: int = 17, doc_id: str = "doc_id", source:
     out = _with_block(out, by_block)
     taken = F.filter(F.coalesce("k_shards", F.array().cast("array<int>")), lambda s: (s >= 0) | F.coalesce(F.col("h") <= F.col("k_cut"), F.lit(False)))
     shards = F.transform(taken, lambda s: F.when(s < 0, -s - 1).otherwise(s))
-    return out.select("row.*", F.col("n").alias("mix_size"), F.struct(F.col("k_size").alias("size"), F.col("k_target").alias("target")).alias("mix_source"), shards.alias("mix_shards"))
+    return out.select("row", F.col("n").alias("mix_size"), F.struct(F.col("k_size").alias("size"), F.col("k_target").alias("target")).alias("mix_source"), shards.alias("mix_shards")), n_shards
 
 
 def _with_block(out: DataFrame, by_block: DataFrame) -> DataFrame:
@@ -161,12 +167,11 @@ def _with_block(out: DataFrame, by_block: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     """The mix itself: the columns of docs, a row each time a document is taken, dealt to shards and shuffled there."""
-    names = docs.columns
-    shard, nth, key = C.free_name(docs, "shard"), C.free_name(docs, "nth"), C.free_name(docs, "key")
-    mixed = mix_sources(docs, seed)
-    out = mixed.select(*[mixed[f"`{c}`"] for c in names], F.posexplode("mix_shards").alias(nth, shard))
-    out = out.withColumn(key, F.xxhash64(F.lit(seed + 1), F.col(f"`{shard}`"), F.col("doc_id"), F.col(f"`{nth}`")))
-    return out.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), shard).sortWithinPartitions(shard, key).select(*[F.col(f"`{c}`") for c in names])
+    mixed, shards = _mix(docs, seed, "doc_id", "source", "text")
+    out = mixed.select("row", F.posexplode("mix_shards").alias("nth", "shard"))
+    out = out.withColumn("key", F.xxhash64(F.lit(seed + 1), "shard", "row.doc_id", "nth"))
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(shards, 1 << 16))
+    return out.repartition(n, "shard").sortWithinPartitions("shard", "key").select("row.*")
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
