@@ -33,8 +33,8 @@ from . import common as C
 
 LENGTH, K = 400, 128
 W = LENGTH - K + 1
-CAP, BATCH = 4096, 8192
-PIECE = 1 << 21
+CAP, BATCH = 4096, 4096
+PIECE = 1 << 20
 _U = np.uint64
 _LOW = _U((1 << 24) - 1)
 
