@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-MIN_WORDS, MAX_SYMBOLS, MAX_LOST = 4, 0.10, 0.5
+MIN_WORDS, MAX_SYMBOLS, MAX_LOST = 4, (1, 10), 0.5
 MIN_DOC_WORDS, MAX_REPEATED = 50, 0.5
 #: Lower-case phrases of licence lines, navigation and notices.
 PHRASES = ("all rights reserved", "licensed under", "cookie policy", "terms of use", "terms of service", "privacy policy", "javascript is disabled", "lorem ipsum", "click here", "sign up for", "subscribe to our")
@@ -98,7 +98,7 @@ def judge(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         phrase[np.searchsorted(has, np.searchsorted(cuts, np.array(found), "right") - 1)] = True
     failed = phrase | again
     failed |= (words >= MIN_WORDS) & ((closed == 0) | (2 * echoes > words))
-    failed |= (symbols > MAX_SYMBOLS * line_chars) | (2 * loud > words)
+    failed |= (MAX_SYMBOLS[1] * symbols > MAX_SYMBOLS[0] * line_chars) | (2 * loud > words)
     failed |= (bars >= 2) & (6 * bars > words)
     lost = count(of[failed], line_chars[failed])
     base = (n_words < MIN_DOC_WORDS) | (100 * n_repeat > 100 * MAX_REPEATED * n_words)

@@ -358,5 +358,5 @@ def archive_pages(pages: DataFrame) -> DataFrame:
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "time", "file", "offset", "part")
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
