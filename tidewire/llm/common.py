@@ -25,11 +25,11 @@ _U = np.uint64
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """URI of the folder all executors see: spark.checkpoint.dir, or a new temporary one if unset (tests)."""
+    """URI of the folder all executors see: spark.checkpoint.dir, or if that is unset (tests) a new temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tidewire-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tidewire-"))
+        found = spark.sparkContext.getCheckpointDir()
     return found if "://" in found or found.startswith("file:") else "file://" + os.path.abspath(found)
 
 
