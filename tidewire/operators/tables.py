@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import DecodeError, EncodeError
+from ..shipping import ship
 from ..wire import make_message, read_message
 
 MICROS, NANOS = "micros", "nanos"
@@ -113,6 +114,7 @@ def encode_messages(df: DataFrame, kind: str = "async", compressed: bool = False
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([n], pa.int32()), pa.array([piece.num_rows], pa.int64()), pa.array([payload], pa.binary())], names=["part", "batch", "n_rows", "payload"])
                 n += 1
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, "part int, batch int, n_rows long, payload binary")
 
 
@@ -129,6 +131,7 @@ def decode_messages(messages: DataFrame, schema: T.StructType, column: str = "pa
                     raise DecodeError("a message that doesn't carry a table")
                 yield as_batch(value, schema)
 
+    ship(messages.sparkSession)
     return messages.select(F.col(column)).mapInArrow(run, schema)
 
 

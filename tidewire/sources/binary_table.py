@@ -16,6 +16,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 from ..errors import ConnectionFailed
 from ..operators.tables import MICROS, as_batch, spark_schema, wire_schema, with_kinds
+from ..shipping import ship
 from ..wire import read_table_bytes, zip_table
 
 
@@ -118,5 +119,6 @@ class BinaryTableSource(DataSource):
 
 def register(spark: SparkSession) -> None:
     """Makes ``spark.read.format("tidewire")`` known, and TIME columns usable."""
+    ship(spark)
     spark.dataSource.register(BinaryTableSource)
     spark.conf.set("spark.sql.timeType.enabled", "true")
