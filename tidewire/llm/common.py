@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: Bytes of text that a Python worker turns into arrays at a time; a longer document is taken alone.
 CHUNK_BYTES = 1 << 20
 #: Rows in an Arrow batch: documents may hold 100 KB or more, so a batch stays small.
@@ -45,7 +47,8 @@ def write_table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds the rows in the Arrow batches that Python workers get."""
+    """Before any Python stage: bounds the rows in the batches that workers get, and sees that they find this package."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
