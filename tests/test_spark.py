@@ -53,6 +53,25 @@ def test_file_source(spark, tmp_path):
         spark.read.format("tidewire").load(str(tmp_path / "none")).collect()
 
 
+def test_file_writes(spark, tmp_path):
+    binary_table.register(spark)
+    out = str(tmp_path / "out")
+    save = lambda df, mode: df.write.format("tidewire").option("rows", "10").mode(mode).save(out)
+    shown = lambda: [p.name for p in (tmp_path / "out").iterdir()]
+    save(spark.range(0, 25, 1, 2), "append")
+    assert len(shown()) == 4 and all(n.startswith("part-") for n in shown())
+    save(spark.range(100, 103, 1, 1), "append")
+    load = lambda: sorted(r["id"] for r in spark.read.format("tidewire").load(out).collect())
+    assert load() == [*range(25), 100, 101, 102]
+    save(spark.range(7), "overwrite")
+    assert load() == list(range(7))
+    with pytest.raises(Exception, match="ZERO|zero"):
+        save(spark.range(40).select(F.expr("if(id < 39, id, 1 div (id - id))").alias("id")), "append")
+    assert load() == list(range(7)) and all(n.startswith("part-") for n in shown())
+    save(spark.range(0), "overwrite")
+    assert load() == [] and spark.read.format("tidewire").load(out).schema["id"].dataType == T.LongType()
+
+
 def test_session(spark):
     s = Session(spark)
     t = spark.createDataFrame([(1, "a", 5), (2, "b", 7), (3, "a", 5)], "i int, sym string, date int")
@@ -160,6 +179,51 @@ def test_client():
         Connection().disconnect()
 
 
+class Desk:
+    """A stub that takes any number of connections: tables by name, and upserts kept."""
+
+    def __init__(self, tables):
+        self.server, self.tables, self.got = socket.create_server(("127.0.0.1", 0)), tables, []
+        self.port = self.server.getsockname()[1]
+        threading.Thread(target=self.run, daemon=True).start()
+
+    def run(self):
+        while True:
+            c, _ = self.server.accept()
+            threading.Thread(target=self.serve, args=(c,), daemon=True).start()
+
+    def serve(self, c):
+        c.recv(1024)
+        c.sendall(b"\x06")
+        stream = c.makefile("rb")
+        while len(head := stream.read(8)) == 8:
+            got = read_message(head + stream.read(struct.unpack("<I", head[4:])[0] - 8))
+            if isinstance(got, str):
+                c.sendall(make_message("response", False, self.tables[got]))
+            else:
+                self.got.append(got)
+                if head[1] == 1:
+                    c.sendall(make_message("response", False, got[1]))
+
+
+def test_remote_tables(spark):
+    binary_table.register(spark)
+    desk = Desk({"a": pa.table({"id": [1, 2]}), "b": pa.table({"id": [3]}), "c": pa.table({"x": ["?"]}), "n": 7})
+    read = lambda **o: spark.read.format("tidewire-remote").options(port=desk.port, **o).load()
+    both = read(queries='["a", "b"]')
+    assert both.rdd.getNumPartitions() == 2 and sorted(r["id"] for r in both.collect()) == [1, 2, 3]
+    assert [r["id"] for r in read(query="b").collect()] == [3]
+    for bad in ({"queries": '["a", "c"]'}, {"query": "n"}, {}):
+        with pytest.raises(Exception, match="without|didn't return a table|needs the option"):
+            read(**bad).collect()
+    out = spark.range(0, 10, 1, 2).write.format("tidewire-remote").option("port", desk.port).option("table", "t").option("rows", 3)
+    out.mode("append").save()
+    assert {g[:2] for g in desk.got} == {("upsert", "t")} and all(g[2].num_rows <= 3 for g in desk.got)
+    assert sorted(v for g in desk.got for v in g[2]["id"].to_pylist()) == list(range(10))
+    with pytest.raises(Exception, match="appended"):
+        out.mode("overwrite").save()
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 

@@ -80,6 +80,10 @@ def as_batch(table: pa.Table, schema: T.StructType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([spark_array(table.column(f.name), f.dataType) for f in schema], names=schema.names)
 
 
+def empty_batch(schema: T.StructType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([], _arrow_type(f.dataType)) for f in schema], names=schema.names)
+
+
 def wire_schema(schema: T.StructType, symbols: tuple[str, ...] = ()) -> list[int | None]:
     """The kind of each column: its metadata's if there, symbol if it is listed, else by its type."""
     out: list[int | None] = []

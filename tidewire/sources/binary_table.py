@@ -1,7 +1,11 @@
 """Spark data source ``tidewire``: serialized table files, plain or in LZ4 blocks; one partition a file.
 
-Options: temporal (micros or nanos), nestedInfNull, block (log2 of LZ4 block bytes, for writes). The path may be a file,
-a folder or a glob of any file system that Spark or pyarrow opens. A file whose columns differ from the schema fails.
+Options: temporal (micros or nanos), nestedInfNull; for writes block (log2 of LZ4 block bytes) and rows (most rows of a
+file, 4,000,000 unless set). The path may be a file, a folder or a glob of any file system that pyarrow opens. A file
+whose columns differ from the schema fails.
+
+Tasks write hidden files, which readers pass over; the driver shows those of the attempts that count once all tasks have
+ended, so a task that is run again adds no rows twice. Overwriting removes the old files after that.
 """
 
 from __future__ import annotations
@@ -15,10 +19,13 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from ..errors import ConnectionFailed
-from ..operators.tables import MICROS, as_batch, spark_schema, wire_schema, with_kinds
+from ..operators.tables import MICROS, as_batch, empty_batch, spark_schema, wire_schema, with_kinds
 from ..shipping import ship
 from ..wire import read_table_bytes, zip_table
 
+#: Most rows of a file, which a writing task holds at a time.
+ROWS = 4_000_000
+
 
 def _fs(uri: str):
     from pyarrow import fs
@@ -80,23 +87,58 @@ class _Reader(DataSourceReader):
             yield batch.slice(lo, 65536)
 
 
+@dataclass
+class _Written(WriterCommitMessage):
+    names: list[str]
+
+
 class _Writer(DataSourceArrowWriter):
     def __init__(self, schema: T.StructType, options: dict, overwrite: bool):
-        self.kinds, self.options, self.overwrite = wire_schema(schema), dict(options), overwrite
+        self.schema, self.kinds, self.options, self.overwrite = schema, wire_schema(schema), dict(options), overwrite
 
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+    def _put(self, batches: list[pa.RecordBatch]) -> str:
+        """Writes a hidden file; returns the name it is to have."""
         import uuid
 
-        batches = [with_kinds(b, self.kinds) for b in iterator]
-        if batches and sum(b.num_rows for b in batches):
-            block = self.options.get("block")
-            where, base = _fs(self.options["path"])
-            where.create_dir(base, recursive=True)
-            name = f"{base}/part-{uuid.uuid4().hex}"
-            with where.open_output_stream(f"{base}/.{name.rsplit('/', 1)[-1]}", compression=None) as f:
-                f.write(zip_table(pa.Table.from_batches(batches), int(block) if block else None))
-            where.move(f"{base}/.{name.rsplit('/', 1)[-1]}", name)
-        return WriterCommitMessage()
+        block = self.options.get("block")
+        where, base = _fs(self.options["path"])
+        where.create_dir(base, recursive=True)
+        name = f"part-{uuid.uuid4().hex}"
+        with where.open_output_stream(f"{base}/.{name}", compression=None) as f:
+            f.write(zip_table(pa.Table.from_batches([with_kinds(b, self.kinds) for b in batches]), int(block) if block else None))
+        return name
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+        most = int(self.options.get("rows", ROWS))
+        names, held, n = [], [], 0
+        for b in iterator:
+            lo = 0
+            while lo < b.num_rows:
+                piece = b.slice(lo, most - n)
+                held.append(piece)
+                lo, n = lo + piece.num_rows, n + piece.num_rows
+                if n == most:
+                    names.append(self._put(held))
+                    held, n = [], 0
+        if held:
+            names.append(self._put(held))
+        return _Written(names)
+
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        path = self.options["path"]
+        where, base = _fs(path)
+        old = _files(path) if self.overwrite and where.get_file_info(base).type.name != "NotFound" else []
+        names = [n for m in messages if m is not None for n in m.names]
+        # Without rows the schema still needs a file.
+        for n in names or [self._put([empty_batch(self.schema)])]:
+            where.move(f"{base}/.{n}", f"{base}/{n}")
+        for o in old:
+            where.delete_file(_fs(o)[1])
+
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        where, base = _fs(self.options["path"])
+        for n in [n for m in messages if m is not None for n in m.names]:
+            where.delete_file(f"{base}/.{n}")
 
 
 class BinaryTableSource(DataSource):
@@ -118,7 +160,10 @@ class BinaryTableSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    """Makes ``spark.read.format("tidewire")`` known, and TIME columns usable."""
+    """Makes the formats ``tidewire`` and ``tidewire-remote`` known, and TIME columns usable."""
+    from .remote_table import RemoteTableSource
+
     ship(spark)
     spark.dataSource.register(BinaryTableSource)
+    spark.dataSource.register(RemoteTableSource)
     spark.conf.set("spark.sql.timeType.enabled", "true")

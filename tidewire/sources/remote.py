@@ -33,7 +33,7 @@ def call_body(expr: str, args: tuple) -> bytes:
 class Connection:
     """Connects when first used. Replies and pushed messages are kept apart: a push that comes while a reply is awaited waits for receive()."""
 
-    def __init__(self, host: str = "", port: int = 0, user: str = "", password: str = "", tls: bool | ssl.SSLContext = False, attempts: int = 1, timeout: float | None = None):
+    def __init__(self, host: str = "", port: int = 0, user: str = "", password: str = "", tls: bool | ssl.SSLContext = False, attempts: int = 1, timeout: float | None = None, nested_inf_null: bool = False):
         self.host = "127.0.0.1" if host in ("", socket.gethostname()) else host
         self.port, self.password, self.tls, self.attempts, self.timeout = port, password, tls, max(1, attempts), timeout or None
         if not user:
@@ -41,7 +41,7 @@ class Connection:
                 user = getpass.getuser()
             except (OSError, KeyError):
                 user = "unknown"
-        self.user, self.sock, self.pushed = user, None, deque()
+        self.user, self.sock, self.pushed, self.nested_inf_null = user, None, deque(), nested_inf_null
 
     @property
     def is_local(self) -> bool:
@@ -134,7 +134,7 @@ class Connection:
             while True:
                 kind, got = self._next()
                 if kind == RESPONSE:
-                    return decode(got)
+                    return decode(got, self.nested_inf_null)
                 self.pushed.append(got)
 
         return self._retry(go)
@@ -153,9 +153,9 @@ class Connection:
 
         def go():
             if self.pushed:
-                return decode(self.pushed.popleft())
+                return decode(self.pushed.popleft(), self.nested_inf_null)
             self.connect()
-            return decode(self._next()[1])
+            return decode(self._next()[1], self.nested_inf_null)
 
         return self._retry(go)
 
