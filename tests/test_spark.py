@@ -16,7 +16,7 @@ from tidewire.operators import qexpr, relational, tables
 from tidewire.session import Session
 from tidewire.sources import binary_table
 from tidewire.sources.remote import Connection
-from tidewire.streaming import subscription
+from tidewire.streaming import subscription, windows
 from tidewire.wire import make_message, read_message, zip_table
 
 
@@ -130,6 +130,22 @@ def test_stream(spark, tmp_path):
     assert sum(n for _, _, n in sent) == 2 and {s[:2] for s in sent} == {("upsert", "trade")}
 
 
+def test_stream_windows(spark, tmp_path):
+    rows = lambda *s: spark.createDataFrame([(k, t) for k, t in s], "k string, t int").select("k", F.timestamp_seconds("t").cast("timestamp_ntz").alias("ts"))
+    first, second = rows(("a", 10), ("a", 70), ("b", 15), ("a", 4000)), rows(("a", 5), ("b", 3950))
+    assert {tuple(r) for r in windows.counts(first, F.window("ts", "1 minute"), "k").collect()} == {("a", 0, 60_000_000, 1), ("a", 60_000_000, 120_000_000, 1), ("b", 0, 60_000_000, 1), ("a", 3_960_000_000, 4_020_000_000, 1)}
+    assert {tuple(r)[1:] for r in windows.counts(first.filter("k = 'a'"), F.session_window("ts", "90 seconds"), "k").collect()} == {(10_000_000, 160_000_000, 2), (4_000_000_000, 4_090_000_000, 1)}
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(first.schema).parquet(str(tmp_path / "in"))
+    for part in (first, second, rows(("c", 9000))):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        q = windows.counts(stream, F.window("ts", "1 minute"), "k", late="10 minutes").writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+    # The row at 5 s came after the watermark had passed its window; the one at 3950 s had not.
+    got = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("k", "start_us", "n").collect()}
+    assert got == {("a", 0, 1), ("a", 60_000_000, 1), ("b", 0, 1), ("a", 3_960_000_000, 1), ("b", 3_900_000_000, 1)}
+
+
 class Peer:
     """A stub that answers each call with the next of its replies; a reply may be several messages."""
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..operators import qexpr, relational, tables
+from ..streaming import windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -210,6 +213,80 @@ sql_query("subquery_cte", "WITH t AS (SELECT o_custkey, max(o_totalprice) AS top
 sql_query("string_functions", "SELECT p_partkey, upper(p_name) AS up, substring(p_brand, 1, 5) AS head, length(p_type) AS n FROM {part}", "part", "SELECT p_partkey, upper(p_name) AS up, substring(p_brand, 1, 5) AS head, CAST(length(p_type) AS INTEGER) AS n FROM part")
 sql_query("json_field", "SELECT event_id, CAST(get_json_object(props, '$.k') AS INT) AS k FROM {events}", "events", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")
 
+sql_query("join_full", "SELECT c_custkey, o_orderkey FROM {customer} FULL JOIN (SELECT * FROM {orders} WHERE o_totalprice > 300000) o ON c_custkey = o_custkey", "customer orders")
+sql_query("join_theta", "SELECT s_suppkey, n_nationkey FROM {supplier} JOIN {nation} ON n_nationkey < s_nationkey AND s_acctbal > 1000", "supplier nation")
+sql_query("grouping_sets", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM {lineitem} GROUP BY GROUPING SETS ((l_returnflag), (l_linestatus), ())", "lineitem")
+sql_query("window_frame", "SELECT o_orderkey, max(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS recent_most FROM {orders}", "orders")
+sql_query("setop_intersect_all", "SELECT c_nationkey AS k FROM {customer} INTERSECT ALL SELECT s_nationkey AS k FROM {supplier}", "customer supplier")
+sql_query("setop_except_all", "SELECT c_nationkey AS k FROM {customer} EXCEPT ALL SELECT s_nationkey AS k FROM {supplier}", "customer supplier")
+sql_query("subquery_scalar", "SELECT c_custkey, (SELECT max(o_totalprice) FROM {orders} WHERE o_custkey = c_custkey) AS most FROM {customer}", "customer orders")
+sql_query(
+    "date_functions",
+    "SELECT o_orderkey, year(o_orderdate) AS y, month(o_orderdate) AS m, CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start, last_day(o_orderdate) AS month_end, date_add(CAST(o_orderdate AS DATE), 30) AS due, datediff(DATE '2002-01-01', CAST(o_orderdate AS DATE)) AS age FROM {orders}",
+    "orders",
+    "SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m, CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start, last_day(o_orderdate) AS month_end, CAST(o_orderdate AS DATE) + 30 AS due, CAST(DATE '2002-01-01' - CAST(o_orderdate AS DATE) AS INTEGER) AS age FROM orders",
+)
+sql_query("math_functions", "SELECT p_partkey, CAST(floor(p_retailprice) AS BIGINT) AS low, CAST(ceil(p_retailprice) AS BIGINT) AS high, abs(p_size - 25) AS off, p_size % 7 AS rest, CAST(floor(sqrt(p_size)) AS BIGINT) AS root, greatest(p_size, 10) AS least_ten FROM {part}", "part")
+sql_query(
+    "array_functions",
+    "SELECT p_partkey, aggregate(v, 0L, (a, x) -> a + x) AS total, array_join(array_sort(transform(v, x -> x % 10)), ',') AS digits, size(filter(v, x -> x > 20)) AS n_big, element_at(v, -1) AS last_item FROM (SELECT p_partkey, array(p_partkey, CAST(p_size AS BIGINT), 3L) AS v FROM {part})",
+    "part",
+    "SELECT p_partkey, CAST(list_sum(v) AS BIGINT) AS total, array_to_string(list_sort(list_transform(v, lambda x: x % 10)), ',') AS digits, CAST(len(list_filter(v, lambda x: x > 20)) AS INTEGER) AS n_big, v[-1] AS last_item FROM (SELECT p_partkey, [p_partkey, CAST(p_size AS BIGINT), CAST(3 AS BIGINT)] AS v FROM part)",
+)
+sql_query("array_explode", "SELECT vec_id, nth, x FROM {embeddings} LATERAL VIEW posexplode(embedding) e AS nth, x WHERE x > 0", "embeddings", "SELECT vec_id, CAST(nth - 1 AS INTEGER) AS nth, x FROM (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS nth FROM embeddings) WHERE x > 0")
+sql_query(
+    "map_functions",
+    "SELECT p_partkey, element_at(m, 'size') AS size, element_at(transform_values(m, (k, v) -> v * 2), 'key') AS twice, element_at(m, 'none') AS none, cardinality(m) AS n FROM (SELECT p_partkey, map('size', CAST(p_size AS BIGINT), 'key', p_partkey) AS m FROM {part})",
+    "part",
+    "SELECT p_partkey, m['size'] AS size, m['key'] * 2 AS twice, m['none'] AS none, CAST(cardinality(m) AS INTEGER) AS n FROM (SELECT p_partkey, MAP {'size': CAST(p_size AS BIGINT), 'key': p_partkey} AS m FROM part)",
+)
+
+
+@query("udf_arrow", "SELECT c_custkey, reverse(c_name) AS back FROM customer")
+def udf_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A function of the caller's over Arrow batches."""
+
+    @F.arrow_udf("string")
+    def back(names: pa.Array) -> pa.Array:
+        return pc.utf8_reverse(names)
+
+    return read(spark, sf_dir, "customer").select("c_custkey", back("c_name").alias("back"))
+
+
+@query("udtf_words", "SELECT p_partkey, CAST(nth AS INTEGER) AS nth, w[nth] AS word FROM (SELECT p_partkey, w, unnest(range(1, len(w) + 1)) AS nth FROM (SELECT p_partkey, string_split(p_type, ' ') AS w FROM part))")
+def udtf_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table function of the caller's, a row a word."""
+
+    class Words:
+        def eval(self, text: str):
+            for i, w in enumerate(text.split(" "), 1):
+                yield i, w
+
+    spark.udtf.register("split_words", F.udtf(Words, returnType="nth int, word string"))
+    return spark.sql("SELECT p_partkey, nth, word FROM {part}, LATERAL split_words(p_type)", part=read(spark, sf_dir, "part"))
+
+
+# -- windows in event time: the same frames serve a stream, with a watermark -------------------
+
+
+@query("tumbling_counts", "SELECT event_type, epoch_us(date_trunc('hour', ts)) AS start_us, count(*) AS n FROM events GROUP BY ALL")
+def tumbling_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.counts(read(spark, sf_dir, "events"), F.window("ts", "1 hour"), "event_type").select("event_type", "start_us", "n")
+
+
+@query("sliding_counts", "SELECT event_type, start_us, count(*) AS n FROM (SELECT event_type, unnest([h, h - 43200000000]) AS start_us FROM (SELECT event_type, epoch_us(ts) - epoch_us(ts) % 43200000000 AS h FROM events)) GROUP BY ALL")
+def sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.counts(read(spark, sf_dir, "events"), F.window("ts", "1 day", "12 hours"), "event_type").select("event_type", "start_us", "n")
+
+
+@query(
+    "session_counts",
+    "SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + 86400000000 AS end_us, count(*) AS n FROM (SELECT *, sum(cut) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 1 DAY THEN 0 ELSE 1 END AS cut FROM events)) GROUP BY user_id, s",
+)
+def session_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.counts(read(spark, sf_dir, "events"), F.session_window("ts", "1 day"), "user_id")
+
+
 
 @query("asof_orders", "SELECT e.event_id, o.event_id AS click_id FROM events e ASOF LEFT JOIN (SELECT user_id, ts, max(event_id) AS event_id FROM events WHERE event_type = 'click' GROUP BY 1, 2) o ON e.user_id = o.user_id AND e.ts >= o.ts WHERE e.event_type = 'purchase'")
 def asof_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
