@@ -222,7 +222,7 @@ class Desk:
                     c.sendall(make_message("response", False, got[1]))
 
 
-def test_remote_tables(spark):
+def test_remote_tables(spark, tmp_path):
     binary_table.register(spark)
     desk = Desk({"a": pa.table({"id": [1, 2]}), "b": pa.table({"id": [3]}), "c": pa.table({"x": ["?"]}), "n": 7})
     read = lambda **o: spark.read.format("tidewire-remote").options(port=desk.port, **o).load()
@@ -238,6 +238,12 @@ def test_remote_tables(spark):
     assert sorted(v for g in desk.got for v in g[2]["id"].to_pylist()) == list(range(10))
     with pytest.raises(Exception, match="appended"):
         out.mode("overwrite").save()
+    desk.got.clear()
+    spark.range(5).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
+    q = subscription.publish_to(stream, "t", str(tmp_path / "c"), port=str(desk.port)).trigger(availableNow=True).start()
+    q.awaitTermination(60)
+    assert sorted(v for g in desk.got for v in g[2]["id"].to_pylist()) == list(range(5))
 
 
 def test_entry(spark):

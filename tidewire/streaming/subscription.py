@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..operators.qexpr import subscribed
 from ..operators.tables import decode_messages, encode_messages
+from ..sources.binary_table import register
 from ..wire import make_message
 
 
@@ -61,3 +62,16 @@ def publish(stream: DataFrame, send: Callable[[str, str, bytes], None], table: s
             send("upsert", table, bytes(r["payload"]))
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+
+
+def publish_to(stream: DataFrame, table: str, checkpoint: str, **options: str):
+    """Sends each micro-batch from its tasks, each over its own connection; at least once. Returns a writer to start.
+
+    ``options`` are those of the format ``tidewire-remote``: host, port, user and so on.
+    """
+    register(stream.sparkSession)
+
+    def batch(df: DataFrame, _: int) -> None:
+        df.write.format("tidewire-remote").options(table=table, **options).mode("append").save()
+
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
