@@ -94,7 +94,9 @@ class _Written(WriterCommitMessage):
 
 class _Writer(DataSourceArrowWriter):
     def __init__(self, schema: T.StructType, options: dict, overwrite: bool):
-        self.schema, self.kinds, self.options, self.overwrite = schema, wire_schema(schema), dict(options), overwrite
+        import uuid
+
+        self.schema, self.kinds, self.options, self.overwrite, self.job = schema, wire_schema(schema), dict(options), overwrite, uuid.uuid4().hex
 
     def _put(self, batches: list[pa.RecordBatch]) -> str:
         """Writes a hidden file; returns the name it is to have."""
@@ -103,7 +105,7 @@ class _Writer(DataSourceArrowWriter):
         block = self.options.get("block")
         where, base = _fs(self.options["path"])
         where.create_dir(base, recursive=True)
-        name = f"part-{uuid.uuid4().hex}"
+        name = f"part-{self.job}-{uuid.uuid4().hex}"
         with where.open_output_stream(f"{base}/.{name}", compression=None) as f:
             f.write(zip_table(pa.Table.from_batches([with_kinds(b, self.kinds) for b in batches]), int(block) if block else None))
         return name
@@ -134,11 +136,19 @@ class _Writer(DataSourceArrowWriter):
             where.move(f"{base}/.{n}", f"{base}/{n}")
         for o in old:
             where.delete_file(_fs(o)[1])
+        self._clean()
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        self._clean()
+
+    def _clean(self) -> None:
+        """Removes hidden files of attempts that don't count; one of a task that is still running may come after it."""
+        from pyarrow import fs
+
         where, base = _fs(self.options["path"])
-        for n in [n for m in messages if m is not None for n in m.names]:
-            where.delete_file(f"{base}/.{n}")
+        for f in where.get_file_info(fs.FileSelector(base, allow_not_found=True)):
+            if f.base_name.startswith(f".part-{self.job}-"):
+                where.delete_file(f.path)
 
 
 class BinaryTableSource(DataSource):
