@@ -499,6 +499,22 @@ def test_decontaminate_edges(spark, edge, none):
     assert decontaminate.drop_contaminated(edge, odd.limit(0)).count() == edge.count()
 
 
+def found_items(items, texts):
+    """The items that the search finds in each text, with their distances."""
+    got = [{} for _ in texts]
+    for d, i, e in zip(*decontaminate.search(decontaminate.Items(list(range(len(items))), items), *C.utf8(pa.array(texts, pa.large_string())))):
+        got[d][int(i)] = int(e)
+    return got
+
+
+def test_template_items_are_found_verbatim():
+    forms = ["Which of the following is the capital of {}", "Which of the following towns in the far north is the capital of {} today", "In what year did the people of {} first vote"]
+    for form in forms:
+        items = [form.format(f"land{n}") for n in range(40)]
+        texts = [f"some words before {t} and some words after it that fill the text" for t in items]
+        assert all(got.get(n) == 0 for n, got in enumerate(found_items(items, texts))), form
+
+
 def test_edit_distance_is_exact():
     rng = random.Random(9)
     for _ in range(20):

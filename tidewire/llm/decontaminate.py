@@ -106,8 +106,8 @@ class Items:
         word, spread = np.unique(pairs[0], return_counts=True)
         common = word[spread > max(2, COMMON * len(ids))]
         rare = ~_among(h, np.sort(common))
-        has_rare = np.bincount(doc, rare, len(ids)) > 0 if len(doc) else np.zeros(len(ids), bool)
         room = self.first[doc + 1] - np.arange(len(h)) >= SHORT // 2 if len(h) else np.zeros(0, bool)
+        has_rare = np.bincount(doc, rare & room, len(ids)) > 0 if len(doc) else np.zeros(len(ids), bool)
         at = np.flatnonzero(long[doc] & room & (rare | ~has_rare[doc])) if len(h) else np.zeros(0, np.int64)
         self.starts = np.unique(h[at])
         self.tables = []
