@@ -515,6 +515,51 @@ def test_template_items_are_found_verbatim():
         assert all(got.get(n) == 0 for n, got in enumerate(found_items(items, texts))), form
 
 
+def brute_distance(item, text):
+    """Least word edit distance between item and any run of words of text."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item):
+        new = [i + 1]
+        for j, b in enumerate(text):
+            new.append(min(row[j] + (a != b), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def edited(rng, item, edits, word):
+    out = list(item)
+    for _ in range(edits):
+        kind, at = rng.randrange(3), rng.randrange(len(out))
+        out[at : at + (kind != 1)] = [] if kind == 0 else [word()]
+    return out
+
+
+def check_hits(items, texts):
+    """The hits of all pairs are those of exact distances; returns how many there are."""
+    want = [{i: e for i, item in enumerate(items) if item and (e := brute_distance(item, text)) <= int(decontaminate.Items([0], [" ".join(item)]).limit[0])} for text in texts]
+    assert found_items([" ".join(i) for i in items], [" ".join(t) for t in texts]) == want
+    return sum(map(len, want))
+
+
+@pytest.mark.parametrize("words", [2000, 40])
+def test_items_are_found_up_to_the_limit(words):
+    rng = random.Random(words)
+    word = lambda: f"w{int(rng.random() ** 2 * words)}"
+    items = [[word() for _ in range(n)] for n in [*range(8, 21)] * 3 + [65, 130]]
+    texts = [[word() for _ in range(rng.randrange(30))] + edited(rng, item, int(0.35 * len(item)), word) + [word() for _ in range(rng.randrange(30))] for item in items]
+    assert check_hits(items, texts) >= len(items)
+
+
+def test_pieces_are_disjoint_and_enough():
+    rng = random.Random(4)
+    items = [" ".join(f"w{rng.randrange(30)}" for _ in range(n)) for n in [*range(0, 70), 127, 128, 129, 1000]]
+    made = decontaminate.Items(list(range(len(items))), items)
+    item, at, words = decontaminate.pieces(made.first, made.size, made.limit, made.h)
+    assert (np.bincount(item, minlength=len(items)) == np.where(made.size > 0, made.limit + 1, 0)).all()
+    held = np.concatenate([np.arange(a, a + n) for a, n in zip(at, words)])
+    assert len(np.unique(held)) == len(held) and (made.doc[at] == item).all() and (made.doc[at + words - 1] == item).all()
+
+
 def test_edit_distance_is_exact():
     rng = random.Random(9)
     for _ in range(20):

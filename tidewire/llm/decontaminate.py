@@ -1,16 +1,13 @@
 """Benchmark decontamination: windows of documents that lie within a small edit distance of a benchmark item.
 
-Edit distance is counted in words (runs of letters, digits and bytes above 0x7F; A-Z lower-cased). The CGK random walk
-reads a window and writes its current word at each step, moving on by a random bit of the word and the step; two
-windows at a small edit distance write outputs at a small Hamming distance. Repeated bit sampling is the LSH: TABLES
-walks, each with SAMPLES output positions, position 0 among them; a document's windows start at every word, those of
-an item at each of its words that isn't common among the items. Positions are compared in order, so a window is
-dropped at the first sampled word that no item window left has. A candidate is verified exactly: the least edit
-distance between the item and any run of words in an item-sized window around it must be at most MAX_DISTANCE times
-the item's words. Items shorter than SHORT words must occur whole.
-
-At a tenth of a passage's words edited, one aligned start is found by one table with probability above 0.4, so an item
-of 15 words, with about 10 starts and 6 tables, is missed with probability below 1e-4 (tests measure it).
+Edit distance is counted in words (runs of letters, digits and bytes above 0x7F; A-Z lower-cased). An item is found if
+the least edit distance between it and any run of words of the document is at most MAX_DISTANCE times the item's words.
+Items shorter than SHORT words must occur whole.
+
+The search is exact: k edits touch at most k of an item's k + 1 disjoint pieces, so a run within k edits holds one piece
+unedited, at most k words off its place. Pieces have 1 to PIECE words and are those of the least expected number of
+occurrences, by the words' counts in the items; any choice finds all. Where a document holds a piece, the words
+that the item could reach from there are compared exactly. No candidate is dropped unseen, so there is no recall to tune.
 
 Items are broadcast in blocks of at most BLOCK_WORDS words; a larger benchmark takes several passes over the documents.
 Defined cases: null or empty texts are clean; items without words match nothing; equal items are separate items;
@@ -29,9 +26,12 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-TABLES, SAMPLES, REACH = 6, 4, 20
 MAX_DISTANCE, SHORT = 0.35, 8
-BLOCK_WORDS, COMMON = 1 << 20, 0.05
+BLOCK_WORDS = 1 << 20
+#: Words of a piece at most; pieces of longer items are chosen segment by segment.
+PIECE, SEGMENT = 3, 64
+#: Bounds on memory: segments and pairs of a piece and a place at a time, words compared at a time.
+SEGMENTS, PAIRS, CELLS = 4096, 1 << 18, 1 << 16
 _U = np.uint64
 _PAD = _U(0x2545F4914F6CDD1D)
 _WORD = np.zeros(256, bool)
@@ -39,11 +39,6 @@ _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = Tru
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-_rng = np.random.Generator(np.random.PCG64(20111213))
-SEEDS = _rng.integers(1, 1 << 62, TABLES, dtype=np.int64).astype(_U)
-#: Sampled output positions of each table, in order; the first is 0.
-POSITIONS = [np.concatenate([[0], np.sort(_rng.choice(np.arange(2, REACH), SAMPLES - 1, replace=False))]) for _ in range(TABLES)]
-
 
 def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(document, hash) of every word."""
@@ -58,28 +53,45 @@ def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.searchsorted(offsets, starts, "right") - 1, C.span_hash(C.prefix_hash(data), starts, ends)
 
 
-def walk(h: np.ndarray, end: np.ndarray, at: np.ndarray, table: int, levels: list[np.ndarray] | None) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Keys of the windows that start at ``at``: (starts left, last keys, keys at each level).
-
-    ``end`` is the end of each word's text. With ``levels``, sorted keys of the items, windows go as soon as their key
-    of a level is none of them.
-    """
-    bits = C.mix(h ^ SEEDS[table])
-    start, pos, key = at, at.copy(), np.full(len(at), SEEDS[table], _U)
-    stop, step, out = end[at], 0, []
-    for q in POSITIONS[table]:
-        while step < q:
-            live = pos < stop
-            b = bits[np.where(live, pos, 0)]
-            pos = pos + ((b >> _U(step)) & _U(1)).astype(np.int64) * live
-            step += 1
-        live = pos < stop
-        key = C.mix(key ^ np.where(live, h[np.where(live, pos, 0)], _PAD)) + _U(step + 1)
-        out.append(key)
-        if levels is not None:
-            keep = _among(key, levels[len(out) - 1])
-            start, pos, key, stop = start[keep], pos[keep], key[keep], stop[keep]
-    return start, key, out
+def pieces(first: np.ndarray, size: np.ndarray, limit: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, place in h, words) of limit + 1 disjoint pieces of each item that has words."""
+    word, which, count = np.unique(h, return_inverse=True, return_counts=True)
+    share = (count / max(1, len(h)))[which]
+    # Segments of equal size, each with its share of the item's pieces.
+    parts = -(-size // SEGMENT)
+    item = np.repeat(np.arange(len(size)), parts)
+    k = np.arange(len(item)) - np.repeat(np.cumsum(parts) - parts, parts)
+    lo, hi = k * size[item] // parts[item], (k + 1) * size[item] // parts[item]
+    need = (limit[item] + 1) * hi // size[item] - (limit[item] + 1) * lo // size[item]
+    start, length = first[item] + lo, hi - lo
+    out = [np.zeros((3, 0), np.int64)]
+    order = np.argsort(length, kind="stable")
+    for seg in np.array_split(order, max(1, -(-len(order) // SEGMENTS))):
+        if not len(seg):
+            continue
+        width, most = int(length[seg].max()), int(need[seg].max())
+        # rest[s % (PIECE + 1)]: least sum of j pieces' expected occurrences from word s on.
+        rest = np.full((PIECE + 1, len(seg), most + 1), np.inf)
+        rest[:, :, 0] = 0
+        take = np.zeros((width, len(seg), most + 1), np.int8)
+        for s in range(width - 1, -1, -1):
+            new = rest[(s + 1) % (PIECE + 1)].copy()
+            cost = np.ones(len(seg))
+            for n in range(1, PIECE + 1):
+                inside = s + n <= length[seg]
+                cost = np.where(inside, cost * share[np.where(inside, start[seg] + s + n - 1, 0)], np.inf)
+                other = rest[(s + n) % (PIECE + 1), :, :-1] + cost[:, None]
+                less = other < new[:, 1:]
+                new[:, 1:][less] = other[less]
+                take[s, :, 1:][less] = n
+            rest[s % (PIECE + 1)] = new
+        at, left, every = np.zeros(len(seg), np.int64), need[seg].copy(), np.arange(len(seg))
+        for s in range(width):
+            n = np.where(at == s, take[s, every, left], 0)
+            got = n > 0
+            out.append(np.stack([item[seg][got], start[seg][got] + s, n[got]]))
+            at, left = at + np.where(at == s, np.maximum(n, 1), 0), left - got
+    return tuple(np.concatenate(out, axis=1))
 
 
 def _among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -99,30 +111,17 @@ class Items:
         n = np.bincount(doc, minlength=len(ids)) if len(doc) else np.zeros(len(ids), np.int64)
         self.first = np.concatenate([[0], np.cumsum(n)])
         self.size, self.h, self.doc = n, h, doc
-        long = n >= SHORT
-        self.limit = np.floor(MAX_DISTANCE * n).astype(np.int64)
-        # Words in many items start no window, unless an item has no other.
-        pairs = np.unique(np.stack([h, doc.astype(_U)]), axis=1) if len(h) else np.zeros((2, 0), _U)
-        word, spread = np.unique(pairs[0], return_counts=True)
-        common = word[spread > max(2, COMMON * len(ids))]
-        rare = ~_among(h, np.sort(common))
-        room = self.first[doc + 1] - np.arange(len(h)) >= SHORT // 2 if len(h) else np.zeros(0, bool)
-        has_rare = np.bincount(doc, rare & room, len(ids)) > 0 if len(doc) else np.zeros(len(ids), bool)
-        at = np.flatnonzero(long[doc] & room & (rare | ~has_rare[doc])) if len(h) else np.zeros(0, np.int64)
+        self.limit = np.where(n >= SHORT, np.floor(MAX_DISTANCE * n), 0).astype(np.int64)
+        item, at, words = pieces(self.first, n, self.limit, h)
         self.starts = np.unique(h[at])
-        self.tables = []
-        for t in range(TABLES):
-            _, key, levels = walk(h, self.first[doc + 1] if len(h) else h, at, t, None) if len(at) else (at, np.zeros(0, _U), [np.zeros(0, _U)] * SAMPLES)
-            order = np.argsort(key, kind="stable")
-            self.tables.append(([np.unique(k) for k in levels], key[order], doc[at][order], (at - self.first[doc[at]])[order]))
-        # Short items: the hash of all their words, by length.
-        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for k in range(1, SHORT):
-            which = np.flatnonzero(n == k)
-            if len(which):
-                v = _run_hash(h, self.first[which], k)
+        #: By words of a piece: sorted hashes, items, and the words of the item before the piece.
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for k in range(1, PIECE + 1):
+            if (words == k).any():
+                it, a = item[words == k], at[words == k]
+                v = _run_hash(h, a, k)
                 order = np.argsort(v, kind="stable")
-                self.short[k] = (v[order], which[order])
+                self.tables[k] = v[order], it[order], (a - self.first[it])[order]
 
 
 def _run_hash(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
@@ -132,18 +131,22 @@ def _run_hash(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
     return v
 
 
-def _expand(keys: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(index in keys, index in ordered) of all equal pairs."""
-    lo, hi = np.searchsorted(ordered, keys, "left"), np.searchsorted(ordered, keys, "right")
-    n = hi - lo
-    return np.repeat(np.arange(len(keys)), n), np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+def _expand(keys: np.ndarray, ordered: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(index in keys, index in ordered) of all equal pairs, about PAIRS at a time."""
+    found = np.flatnonzero(_among(keys, ordered))
+    if not len(found):
+        return
+    lo, hi = np.searchsorted(ordered, keys[found], "left"), np.searchsorted(ordered, keys[found], "right")
+    for part in np.split(np.arange(len(found)), np.flatnonzero(np.diff(np.cumsum(hi - lo) // PAIRS)) + 1):
+        n = (hi - lo)[part]
+        yield np.repeat(found[part], n), np.repeat(lo[part] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
 def edit_distances(items: Items, item: np.ndarray, h: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """Least word edit distance between each item and any run of words within h[lo:hi]."""
     out = np.zeros(len(item), np.int64)
     by_size = np.argsort(items.size[item], kind="stable")
-    for part in np.array_split(by_size, max(1, -(-len(by_size) // 512))):
+    for part in np.split(by_size, np.flatnonzero(np.diff(np.cumsum((hi - lo)[by_size]) // CELLS)) + 1):
         if not len(part):
             continue
         it, a, b = item[part], lo[part], hi[part]
@@ -177,48 +180,29 @@ def search(items: Items, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndar
     base = np.cumsum(counts) - counts
     end = (base + counts)[doc]
     at = np.flatnonzero(_among(h, items.starts))
-    cand = []
-    for t, (levels, keys, item, offset) in enumerate(items.tables):
-        start, key, _ = walk(h, end, at, t, levels)
-        i, j = _expand(key, keys)
-        cand.append(np.stack([item[j], start[i] - offset[j]]))
-    got = np.unique(np.concatenate(cand, axis=1), axis=1) if cand else np.zeros((2, 0), np.int64)
-    item, begin = got
     d_all, i_all, e_all = [], [], []
-    if len(item):
-        slack = np.maximum(2, items.limit[item])
-        # The document is that of a word of the window; begin itself may lie before its start.
-        anchor = np.clip(begin + items.size[item] // 2, 0, len(h) - 1)
-        # Candidates of one item whose windows overlap to a half and more are one region.
-        order = np.lexsort((begin, item))
-        item, begin, slack, anchor = item[order], begin[order], slack[order], anchor[order]
-        new = np.ones(len(item), bool)
-        new[1:] = (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > slack[1:])
-        first = np.flatnonzero(new)
-        last = np.concatenate([first[1:], [len(item)]]) - 1
-        it = item[first]
-        size, s = items.size[it], slack[first]
-        lo, hi = np.maximum(begin[first] - s, 0), np.minimum(begin[last] + size + s, len(h))
-        # A region may touch several documents at their bounds; it is cut to each.
-        d0, d1 = doc[np.minimum(lo, len(h) - 1)], doc[np.maximum(hi - 1, 0)]
-        span = d1 - d0 + 1
-        k = np.repeat(np.arange(len(it)), span)
-        d = d0[k] + np.arange(len(k)) - np.repeat(np.cumsum(span) - span, span)
-        a, b = np.maximum(lo[k], base[d]), np.minimum(hi[k], base[d] + counts[d])
-        ok = b - a >= size[k] - items.limit[it[k]]
-        k, d, a, b = k[ok], d[ok], a[ok], b[ok]
-        if len(k):
-            e = edit_distances(items, it[k], h, a, b)
-            hit = e <= items.limit[it[k]]
+    for words, (keys, owner, before) in items.tables.items():
+        pos = at[at + words <= end[at]]
+        for i, j in _expand(_run_hash(h, pos, words), keys):
+            item, d, begin = owner[j], doc[pos[i]], pos[i] - before[j]
+            # Places of an item that are less than its size apart are compared at once.
+            cell = begin // items.size[item]
+            order = np.lexsort((begin, cell, d, item))
+            item, d, begin, cell = item[order], d[order], begin[order], cell[order]
+            new = np.ones(len(item), bool)
+            new[1:] = (item[1:] != item[:-1]) | (d[1:] != d[:-1]) | (cell[1:] != cell[:-1])
+            first = np.flatnonzero(new)
+            last = np.concatenate([first[1:], [len(item)]]) - 1
+            item, d = item[first], d[first]
+            size, limit = items.size[item], items.limit[item]
+            a, b = np.maximum(begin[first] - limit, base[d]), np.minimum(begin[last] + size + limit, base[d] + counts[d])
+            ok = b - a >= size - limit
+            item, d, a, b, limit = item[ok], d[ok], a[ok], b[ok], limit[ok]
+            e = edit_distances(items, item, h, a, b)
+            hit = e <= limit
             d_all.append(d[hit])
-            i_all.append(it[k][hit])
+            i_all.append(item[hit])
             e_all.append(e[hit])
-    for k, (hashes, which) in items.short.items():
-        pos = np.flatnonzero(np.arange(len(h)) + k <= end)
-        i, j = _expand(_run_hash(h, pos, k), hashes)
-        d_all.append(doc[pos[i]])
-        i_all.append(which[j])
-        e_all.append(np.zeros(len(i), np.int64))
     if not d_all:
         return none, none, none
     d, i, e = np.concatenate(d_all), np.concatenate(i_all), np.concatenate(e_all)
