@@ -392,6 +392,36 @@ def test_url_filter(spark):
     assert url_filter.verdicts(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def brute_urls(rows):
+    """{page: (words, score)} of URLs without a rule, with all counts in memory."""
+    split = {i: brute_rule(u)[:2] for i, u in rows}
+    cut = url_filter.Segmenter(collections.Counter(n for h, p in split.values() for n in url_filter.names(h, p) if not n.isdigit() and len(n) <= url_filter.MAX_WORD))
+    known = {n: url_filter.segment(n, cut.cost, cut.unknown) for h, p in split.values() for n in url_filter.names(h, p)}
+    words = {i: url_filter.tokens(h, p, known) for i, (h, p) in split.items()}
+    counts, urls = (collections.Counter(), collections.Counter()), collections.Counter()
+    for i, (h, _) in split.items():
+        if h:
+            k = url_filter.seeded(url_filter.tokens(h, "", known))
+            urls[k] += 1
+            counts[k].update(words[i])
+    size = len(counts[0] | counts[1]) + 1
+    sums = [c.total() + size for c in counts]
+    odds = lambda w: np.log((counts[1][w] + 1) / sums[1]) - np.log((counts[0][w] + 1) / sums[0])
+    return {i: (" ".join(words[i]), np.log((urls[1] + 1) / (urls[0] + 1)) + sum(map(odds, words[i]))) for i, u in rows if split[i][0] and not brute_rule(u)[2]}, size - 1
+
+
+def test_rare_words_of_a_large_url_table_keep_their_odds(spark):
+    rng = random.Random(8)
+    made = iter(sorted({"".join(rng.choices("bcdfghjkpqruvxyz", k=8)) for _ in range(56000)}))
+    rows = [(n, f"http://host.net/{'/'.join([next(made) for _ in range(50)] * 4)}") for n in range(1100)] + [(1100, "http://escort-escort/escort"), (1101, "http://7.a-b.net/qzqzqzqzqzqzqzqzqzqzqzqzqzqzqzqzqz")]
+    want, size = brute_urls(rows)
+    assert size > 50000
+    got = {r["page_id"]: r for r in url_filter.verdicts(spark.createDataFrame(rows, "page_id long, url string").repartition(3)).collect()}
+    assert got[1100]["verdict"] == "block" and len(got) == len(want) == len(rows)
+    for i, (words, score) in want.items():
+        assert got[i]["words"] == words and abs(got[i]["block_score"] - score) < 1e-6, i
+
+
 def test_segmenter():
     s = url_filter.Segmenter({})
     assert url_filter.segment("casinowinfreebets", s.cost, s.unknown) == ["casino", "win", "free", "bets"]

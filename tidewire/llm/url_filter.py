@@ -3,7 +3,11 @@
 Host words are run together in names, so a unigram Viterbi search splits each into its likeliest words; word counts
 come from the letter runs of all hosts and paths of the table given, and the words of two fixed lists. A multinomial
 naive Bayes model over the tokens of host and path scores the verdict: its counts are those of all URLs, split by
-whether their segmented host holds words of the block list. Vocabularies are the MAX_VOCAB most frequent words.
+whether their segmented host holds words of the block list.
+
+All words and tokens keep their counts, in written tables. Each block of URLs is joined to the rows of its distinct names
+and tokens, so a word of every URL costs one row a block. Only words of at most SHORT_WORD letters (18,278 in all) and of the
+two lists are broadcast.
 
 Defined cases: a null URL, or one without "://", has empty host and path, no rule and is allowed; an empty host
 matches no rule; the longest rule that fits wins; repeated rows are judged alike.
@@ -13,7 +17,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,9 +30,14 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 #: Words that name kinds of sites to block, and words of ordinary hosts and paths.
 BLOCK_WORDS = ("ads", "ad", "adult", "track", "tracker", "casino", "win", "bet", "bets", "betting", "free", "spam", "farm", "cheap", "pills", "pharma", "viagra", "porn", "xxx", "sex", "poker", "slots", "loan", "loans", "warez", "crack", "torrent", "malware", "phish", "lottery", "jackpot", "gambling", "escort", "nude", "clickbait", "popup")
 ALLOW_WORDS = ("www", "blog", "m", "en", "de", "fr", "es", "news", "wiki", "docs", "help", "about", "article", "library", "museum", "school", "university", "health", "science", "weather", "sport", "music", "shop", "home", "mail", "page", "index", "html", "example", "com", "net", "org", "info", "forum", "support", "media", "static")
+#: Letters of a word at most; longer runs are always split.
 MAX_WORD = 24
-#: Words with the most counts that the segmenter keeps; a bound on what is broadcast.
-MAX_VOCAB = 50000
+#: Letters of the words that are broadcast; of longer ones none is a part of most names.
+SHORT_WORD = 3
+#: A block has 2**BLOCK_BITS URLs at most.
+BLOCK_BITS = 12
+#: Rows that a Python stage emits at a time.
+EMIT = 1 << 15
 SMOOTHING = 1.0
 
 
@@ -66,37 +75,40 @@ def segment(name: str, cost: dict[str, float], unknown: float) -> list[str]:
     return out[::-1]
 
 
-def tokens(host: str, path: str, cost: dict[str, float], unknown: float, known: dict[str, list[str]]) -> list[str]:
+def names(host: str, path: str) -> list[str]:
+    """Runs of letters of host and path, and of digits of the host."""
+    return re.findall(r"[a-z]+|[0-9]+", host) + re.findall(r"[a-z]+", path.lower())
+
+
+def tokens(host: str, path: str, known: Mapping[str, list[str]]) -> list[str]:
+    """Words of host and path, by the words of each name; digits are one token."""
     out = []
-    for name in re.findall(r"[a-z]+|[0-9]+", host) + re.findall(r"[a-z]+", path.lower()):
+    for name in names(host, path):
         if name.isdigit():
             out.append("#")
-            continue
-        if name not in known:
-            if len(known) > 100_000:
-                known.clear()
-            known[name] = segment(name, cost, unknown)
-        out += known[name]
+        else:
+            out += known[name]
     return out
 
 
-def word_counts(urls: DataFrame) -> dict[str, float]:
-    """Counts of letter runs between hyphens, dots and slashes of all hosts and paths, the MAX_VOCAB most frequent."""
-    runs = F.explode(F.regexp_extract_all(F.lower(F.concat_ws("/", "host", "path")), F.lit("([a-z]+)"), 1))
-    top = urls.select(runs.alias("w")).filter(F.length("w") <= MAX_WORD).groupBy("w").count().orderBy(F.desc("count"), "w").limit(MAX_VOCAB)
-    return {r["w"]: float(r["count"]) for r in top.collect()}
-
-
 class Segmenter:
-    def __init__(self, counts: dict[str, float]):
+    """Costs of the words whose counts are given; ``weight`` is the sum of the weights of all words, if there are more."""
+
+    def __init__(self, counts: dict[str, float], weight: float | None = None):
         # Words of the lists are known whatever the table holds; a run seen once is likelier a compound.
         weights = {w: math.log1p(c) for w, c in counts.items() if c > 1}
-        listed = max(500.0, sum(weights.values()) / 100)
+        weight = math.fsum(weights.values()) if weight is None else weight
+        listed = max(500.0, weight / 100)
         for w in (*BLOCK_WORDS, *ALLOW_WORDS):
             weights[w] = weights.get(w, 0.0) + listed
-        total = sum(weights.values())
-        self.cost = {w: -math.log(c / total) for w, c in weights.items()}
-        self.unknown = math.log(total) / 2
+        self.total = weight + listed * (len(BLOCK_WORDS) + len(ALLOW_WORDS))
+        self.cost = {w: -math.log(c / self.total) for w, c in weights.items()}
+        self.unknown = math.log(self.total) / 2
+
+    def words(self, name: str, parts: list[tuple[str, int]]) -> list[str]:
+        """The likeliest words of a name, given the counts of its parts that aren't broadcast."""
+        cost = {w: -math.log(math.log1p(c) / self.total) for w, c in parts} | self.cost if parts else self.cost
+        return segment(name, cost, self.unknown)
 
 
 def seeded(words: list[str]) -> bool:
@@ -109,44 +121,77 @@ _BLOCK = frozenset(BLOCK_WORDS)
 
 
 class UrlModel:
-    """Multinomial naive Bayes: log odds of block for each token, and of the prior."""
+    """Multinomial naive Bayes: log odds of block for a token's counts, and of the prior."""
 
-    def __init__(self, counts: dict[str, tuple[float, float]], urls: tuple[float, float]):
-        sums = [sum(t[k] for t in counts.values()) + SMOOTHING * (len(counts) + 1) for k in (0, 1)]
-        self.odds = {w: math.log((t[1] + SMOOTHING) / sums[1]) - math.log((t[0] + SMOOTHING) / sums[0]) for w, t in counts.items()}
+    def __init__(self, tokens: int, sums: tuple[int, int], urls: tuple[int, int]):
+        self.sums = [n + SMOOTHING * (tokens + 1) for n in sums]
         self.prior = math.log((urls[1] + 1) / (urls[0] + 1))
 
-    def score(self, words: list[str]) -> float:
-        """Log odds of block; words that were never seen say nothing."""
-        return self.prior + sum(self.odds.get(w, 0.0) for w in words)
+    def odds(self, allowed: int, blocked: int) -> float:
+        return math.log((blocked + SMOOTHING) / self.sums[1]) - math.log((allowed + SMOOTHING) / self.sums[0])
 
 
-def train(urls: DataFrame, segmenter: Segmenter) -> UrlModel:
-    """Token counts of all URLs by whether their host is seeded; the MAX_VOCAB most frequent tokens are kept."""
-    cut = urls.sparkSession.sparkContext.broadcast(segmenter)
+def by_block(rows: DataFrame, count: Callable[[dict], Iterator[tuple[str, int]]], columns: list[str]) -> DataFrame:
+    """(block, w, a, b) of the distinct words of each block; ``count`` yields (word, 0 for a or 1 for b) of a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s, known, total = cut.value, {}, {}
+        total: dict[tuple[int, str], list[int]] = {}
 
-        def rows():
-            out = pa.RecordBatch.from_arrays([pa.array([w for w, _ in total], pa.string()), pa.array([k for _, k in total], pa.int32()), pa.array(list(total.values()), pa.int64())], names=["w", "blocked", "n"])
+        def out():
+            cut = pa.RecordBatch.from_arrays([pa.array([k for k, _ in total], pa.int64()), pa.array([w for _, w in total], pa.string()), pa.array([n[0] for n in total.values()], pa.int64()), pa.array([n[1] for n in total.values()], pa.int64())], names=["block", "w", "a", "b"])
             total.clear()
-            return out
+            return cut
+
+        last = None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["block"] != last and len(total) > EMIT:
+                    yield out()
+                last = row["block"]
+                for w, k in count(row):
+                    total.setdefault((last, w), [0, 0])[k] += 1
+        yield out()
+
+    return rows.select("block", *columns).mapInArrow(run, "block long, w string, a long, b long")
+
+
+def segmented(words: DataFrame) -> DataFrame:
+    """(w, words) of all distinct names, from their (w, n)."""
+    spark = words.sparkSession
+    words = C.write_table(words.withColumn("id", F.monotonically_increasing_id()), "url-words")
+    lexicon = words.filter((F.col("n") > 1) & (F.length("w") <= MAX_WORD))
+    # One row for each different count: summed in order, so that the same table gives the same costs.
+    weight = math.fsum(math.log1p(r["n"]) * r["count"] for r in lexicon.groupBy("n").count().orderBy("n").collect())
+    near = {r["w"]: r["n"] for r in lexicon.filter((F.length("w") <= SHORT_WORD) | F.col("w").isin(*BLOCK_WORDS, *ALLOW_WORDS)).collect()}
+    cut = spark.sparkContext.broadcast(Segmenter(near, weight))
+
+    def substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, parts = [], []
+
+        def out():
+            rows = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(parts, pa.string())], names=["id", "w"])
+            ids.clear()
+            parts.clear()
+            return rows
 
         for b in batches:
-            for h, p in zip(b.column("host").to_pylist(), b.column("path").to_pylist()):
-                if h:
-                    k = int(seeded(tokens(h, "", s.cost, s.unknown, known)))
-                    for w in (*tokens(h, p, s.cost, s.unknown, known), ""):
-                        total[w, k] = total.get((w, k), 0) + 1
-            if len(total) > 200_000:
-                yield rows()
-        yield rows()
+            for i, name in zip(b.column("id").to_pylist(), b.column("w").to_pylist()):
+                for at in range(len(name) - SHORT_WORD):
+                    ends = range(at + SHORT_WORD + 1, min(at + MAX_WORD, len(name)) + 1)
+                    parts.extend(name[at:end] for end in ends)
+                    ids.extend([i] * len(ends))
+                    if len(ids) > EMIT:
+                        yield out()
+        yield out()
 
-    counted = urls.select("host", "path").mapInArrow(run, "w string, blocked int, n long").groupBy("w").agg(F.sum(F.when(F.col("blocked") == 0, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("blocked") == 1, F.col("n")).otherwise(0)).alias("b"))
-    # The empty token counts URLs.
-    got = {r["w"]: (float(r["a"]), float(r["b"])) for r in counted.orderBy(F.desc(F.col("a") + F.col("b")), "w").limit(MAX_VOCAB).collect()}
-    return UrlModel({w: n for w, n in got.items() if w}, got.get("", (0.0, 0.0)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [cut.value.words(name, [(p["w"], p["n"]) for p in parts or []]) for name, parts in zip(b.column("w").to_pylist(), b.column("parts").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("w"), pa.array(found, pa.list_(pa.string()))], names=["w", "words"])
+
+    parts = words.select("id", "w").mapInArrow(substrings, "id long, w string").join(lexicon.select("w", "n"), "w")
+    held = parts.groupBy("id").agg(F.collect_set(F.struct("w", "n")).alias("parts"))
+    return words.join(held, "id", "left").select("w", "parts").mapInArrow(run, "w string, words array<string>")
 
 
 def verdicts(pages: DataFrame) -> DataFrame:
@@ -156,23 +201,40 @@ def verdicts(pages: DataFrame) -> DataFrame:
     host, path = parts(F.col("url").cast("string"))
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
     rule, verdict = rule_columns(F.col("host"), F.col("path"))
-    base = base.withColumns({"rule": rule, "rule_verdict": verdict})
-    segmenter = Segmenter(word_counts(base))
-    model = spark.sparkContext.broadcast((segmenter, train(base, segmenter)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (cut, m), known = model.value, {}
-        for b in batches:
-            score, words, final = [], [], []
-            for h, p, v in zip(*(b.column(c).to_pylist() for c in ("host", "path", "rule_verdict"))):
-                w = tokens(h, p, cut.cost, cut.unknown, known)
-                s = m.score(w) if h else -math.inf
-                words.append(" ".join(w))
-                score.append(None if v or not h else s)
-                final.append(v or ("block" if s > 0 else "allow"))
-            yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("host"), b.column("path"), b.column("rule"), pa.array(final, pa.string()), pa.array(score, pa.float64()), pa.array(words, pa.string())], names=["page_id", "host", "path", "rule", "verdict", "block_score", "words"])
-
-    return base.mapInArrow(run, "page_id long, host string, path string, rule string, verdict string, block_score double, words string")
+    base = base.withColumns({"rule": rule, "rule_verdict": verdict, "block": F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)})
+    base = C.write_table(base, "urls")
+
+    found = C.write_table(by_block(base, lambda r: ((name, 0) for name in names(r["host"], r["path"]) if not name.isdigit()), ["host", "path"]), "url-names")
+    cuts = segmented(found.groupBy("w").agg(F.sum("a").alias("n")))
+
+    def cut(rows: pa.Table, cuts: pa.Table) -> pa.Table:
+        known = dict(zip(cuts.column("w").to_pylist(), cuts.column("words").to_pylist())) if cuts.num_rows else {}
+        hosts, paths = rows.column("host").to_pylist(), rows.column("path").to_pylist()
+        words = [" ".join(tokens(h, p, known)) for h, p in zip(hosts, paths)]
+        return rows.append_column("words", pa.array(words, pa.string())).append_column("seeded", pa.array([int(seeded(tokens(h, "", known))) for h in hosts], pa.int32()))
+
+    kinds = "page_id long, host string, path string, rule string, rule_verdict string, block long, words string, seeded int"
+    cut_rows = base.groupBy("block").cogroup(found.select("block", "w").join(cuts, "w").groupBy("block")).applyInArrow(cut, kinds)
+    cut_rows = C.write_table(cut_rows, "url-tokens")
+
+    scored = cut_rows.filter(F.col("host") != "")
+    counted = C.write_table(by_block(scored, lambda r: ((w, r["seeded"]) for w in r["words"].split()), ["words", "seeded"]), "url-counts")
+    totals = counted.groupBy("w").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    n, a, b = totals.agg(F.count("w"), F.sum("a"), F.sum("b")).first()
+    urls, blocked = scored.agg(F.count("seeded"), F.sum("seeded")).first()
+    model = UrlModel(n, (a or 0, b or 0), (urls - (blocked or 0), blocked or 0))
+
+    def judge(rows: pa.Table, counts: pa.Table) -> pa.Table:
+        odds = {w: model.odds(x, y) for w, x, y in zip(*(counts.column(c).to_pylist() for c in ("w", "a", "b")))} if counts.num_rows else {}
+        score, final = [], []
+        for h, w, v in zip(*(rows.column(c).to_pylist() for c in ("host", "words", "rule_verdict"))):
+            s = model.prior + sum(odds[t] for t in w.split()) if h else -math.inf
+            score.append(None if v or not h else s)
+            final.append(v or ("block" if s > 0 else "allow"))
+        return pa.table([rows.column("page_id"), rows.column("host"), rows.column("path"), rows.column("rule"), pa.array(final, pa.string()), pa.array(score, pa.float64()), rows.column("words")], names=["page_id", "host", "path", "rule", "verdict", "block_score", "words"])
+
+    known = counted.select("block", "w").join(totals, "w")
+    return cut_rows.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(judge, "page_id long, host string, path string, rule string, verdict string, block_score double, words string")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
