@@ -580,6 +580,16 @@ def test_items_are_found_up_to_the_limit(words):
     assert check_hits(items, texts) >= len(items)
 
 
+def test_short_items_have_the_same_limit():
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(60)}"
+    items = [[word() for _ in range(n)] for n in [*range(1, 8)] * 4]
+    texts = [[word() for _ in range(20)] + edited(rng, item, int(0.35 * len(item)), word) + [word() for _ in range(20)] for item in items]
+    want = [{i: e for i, item in enumerate(items) if (e := brute_distance(item, text)) <= int(0.35 * len(item))} for text in texts]
+    assert found_items([" ".join(i) for i in items], [" ".join(t) for t in texts]) == want
+    assert found_items(["one two three four five six seven"], ["so one two three x five six seven it is"]) == [{0: 1}]
+
+
 def test_pieces_are_disjoint_and_enough():
     rng = random.Random(4)
     items = [" ".join(f"w{rng.randrange(30)}" for _ in range(n)) for n in [*range(0, 70), 127, 128, 129, 1000]]

@@ -1,8 +1,8 @@
 """Benchmark decontamination: windows of documents that lie within a small edit distance of a benchmark item.
 
 Edit distance is counted in words (runs of letters, digits and bytes above 0x7F; A-Z lower-cased). An item is found if
-the least edit distance between it and any run of words of the document is at most MAX_DISTANCE times the item's words.
-Items shorter than SHORT words must occur whole.
+the least edit distance between it and any run of words of the document is at most MAX_DISTANCE times the item's words,
+whatever its size: items of 1 or 2 words occur whole, of 3 to 5 with one edit, of 6 to 8 with two.
 
 The search is exact: k edits touch at most k of an item's k + 1 disjoint pieces, so a run within k edits holds one piece
 unedited, at most k words off its place. Pieces have 1 to PIECE words and are those of the least expected number of
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-MAX_DISTANCE, SHORT = 0.35, 8
+MAX_DISTANCE = 0.35
 BLOCK_WORDS = 1 << 20
 #: Words of a piece at most; pieces of longer items are chosen segment by segment.
 PIECE, SEGMENT = 3, 64
@@ -111,7 +111,7 @@ class Items:
         n = np.bincount(doc, minlength=len(ids)) if len(doc) else np.zeros(len(ids), np.int64)
         self.first = np.concatenate([[0], np.cumsum(n)])
         self.size, self.h, self.doc = n, h, doc
-        self.limit = np.where(n >= SHORT, np.floor(MAX_DISTANCE * n), 0).astype(np.int64)
+        self.limit = np.floor(MAX_DISTANCE * n).astype(np.int64)
         item, at, words = pieces(self.first, n, self.limit, h)
         self.starts = np.unique(h[at])
         #: By words of a piece: sorted hashes, items, and the words of the item before the piece.
