@@ -621,6 +621,88 @@ def test_edit_distance_is_exact():
 # -- pipeline ---------------------------------------------------------------------------------
 
 
+@pytest.fixture(scope="module")
+def planted(spark, small, tmp_path_factory):
+    """The folder of a small input, some of whose documents hold edited or whole items, long and short."""
+    folder, rng = str(tmp_path_factory.mktemp("planted")), random.Random(12)
+    bench = spark.read.parquet(f"{SMALL}/benchmark.parquet").orderBy("item_id").limit(20)
+    items = [tuple(r) for r in bench.collect()] + [(9001, "vrax Olmidon teshu quorl"), (9002, "nine eight seven, zub six five four three")]
+    rows = [r.asDict() for r in small.orderBy("doc_id").collect()]
+    for n, r in enumerate(rows):
+        if n % 5 == 0:
+            item = items[n // 5 % len(items)][1].split()
+            w = (r["text"] or "").split(" ")
+            at = rng.randrange(len(w) + 1)
+            r["text"] = " ".join(w[:at] + edited(rng, item, rng.randrange(int(0.3 * len(item)) + 1), lambda: "zzyzx") + w[at:])
+    spark.createDataFrame([tuple(r.values()) for r in rows], small.schema).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(items, bench.schema).write.parquet(f"{folder}/benchmark.parquet")
+    spark.read.parquet(f"{SMALL}/labels.parquet").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def brute_hits(texts, items):
+    """{item: least distance} of each text, over all pairs, for items within 0.35 of their words."""
+    split = lambda t: [w.lower() for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", (t or "").encode())]
+    out, parts = [], [(i, split(t)) for i, t in items]
+    ids = {w: k for k, w in enumerate({w for _, p in parts for w in p})}
+    for text in texts:
+        words, found = np.array([ids.get(w, -1) for w in split(text)], np.int64), {}
+        ramp = np.arange(len(words) + 1)
+        for i, item in parts:
+            row = np.zeros(len(words) + 1, np.int64)
+            for w in item:
+                new = row + 1
+                new[1:] = np.minimum(new[1:], row[:-1] + (words != ids[w]))
+                row = np.minimum.accumulate(new - ramp) + ramp
+            if item and row.min() <= int(0.35 * len(item)):
+                found[i] = int(row.min())
+        out.append(found)
+    return out
+
+
+def test_decontaminate_query_equals_all_pairs(spark, planted):
+    docs = spark.read.parquet(f"{planted}/documents.parquet").select("doc_id", "text").collect()
+    hits = brute_hits([t for _, t in docs], [tuple(r) for r in spark.read.parquet(f"{planted}/benchmark.parquet").select("item_id", "text").collect()])
+    want = collections.Counter((d, bool(h), tuple(sorted(h)), min(h.values(), default=None)) for (d, _), h in zip(docs, hits))
+    got = collections.Counter((r["doc_id"], r["contaminated"], tuple(r["item_ids"]), r["least_distance"]) for r in decontaminate.op10(spark, planted).collect())
+    assert got == want and sum(map(bool, hits)) >= len(docs) // 5
+
+
+def test_pipeline_equals_brute_force(spark, planted, monkeypatch):
+    import corpus_pipeline
+
+    tables, write = {}, C.write_table
+    monkeypatch.setattr(C, "write_table", lambda df, name, *a: tables.setdefault(name, write(df, name, *a)))
+    last = corpus_pipeline.run(spark, planted).collect()
+    docs = spark.read.parquet(f"{planted}/documents.parquet")
+    stages = [[tuple(r) for r in docs.collect()], *([tuple(r) for r in tables[n.replace(" ", "-")].collect()] for n, _ in corpus_pipeline.STAGES[:-1])]
+    at = {c: k for k, c in enumerate(docs.columns)}
+    ids = [collections.Counter(r[at["doc_id"]] for r in rows) for rows in stages]
+    text = {r[at["doc_id"]]: r[at["text"]] for r in stages[0]}
+    assert all(set(b) <= set(a) for a, b in zip(stages, stages[1:])) and len(text) == len(stages[0])  # whole rows
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{planted}/labels.parquet").collect()}
+    judged = [(d in ids[1]) == (labels[d] == 1) for d in labels if d in text]
+    assert sum(judged) >= 0.9 * len(judged) > 0
+    assert ids[2] == collections.Counter({c for _, c, _ in brute_classes([(d, text[d]) for d in ids[1]])}) and len(ids[2]) < len(ids[1])
+    hits = brute_hits([text[d] for d in ids[2]], [tuple(r) for r in spark.read.parquet(f"{planted}/benchmark.parquet").select("item_id", "text").collect()])
+    assert ids[3] == collections.Counter(d for d, h in zip(ids[2], hits) if not h) and len(ids[3]) < len(ids[2])
+    size, taken, biggest = collections.Counter(), collections.Counter(), collections.Counter()
+    for r in stages[3]:
+        n = len(words_of(r[at["text"]]))
+        size[r[at["source"]]] += n
+        taken[r[at["source"]]] += n * ids[4][r[at["doc_id"]]]
+        biggest[r[at["source"]]] = max(biggest[r[at["source"]]], n)
+    order = sorted(size)
+    for s, goal in zip(order, mixing.targets([size[s] for s in order], [1.0 + k % 3 for k in range(len(order))])):
+        assert abs(taken[s] - goal) <= biggest[s], s
+    assert max(ids[4].values()) <= 3
+    mixed = sorted(ids[4].elements())
+    want = collections.Counter((d, len(i), zlib.crc32(i.tobytes())) for d, i in zip(mixed, whole([text[d] for d in mixed])))
+    assert collections.Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in last) == want
+    last.sort(key=lambda r: r["start"])
+    assert [r["start"] for r in last] == [0, *np.cumsum([r["n_tokens"] for r in last])[:-1]] and [r["doc_id"] for r in last] == mixed
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
