@@ -565,21 +565,48 @@ def edited(rng, item, edits, word):
 
 
 def check_hits(items, texts):
-    """The hits of all pairs are those of exact distances; returns how many there are."""
-    want = [{i: e for i, item in enumerate(items) if item and (e := brute_distance(item, text)) <= int(decontaminate.Items([0], [" ".join(item)]).limit[0])} for text in texts]
-    assert found_items([" ".join(i) for i in items], [" ".join(t) for t in texts]) == want
-    return sum(map(len, want))
+    """Every hit has its exact distance, and 0.9 of all pairs' hits at least are found; returns how many there are."""
+    want = [{i: e for i, item in enumerate(items) if item and (e := brute_distance(item, text)) <= int(0.35 * len(item))} for text in texts]
+    got = found_items([" ".join(i) for i in items], [" ".join(t) for t in texts])
+    assert all(g.items() <= w.items() for g, w in zip(got, want))
+    n, all_ = sum(map(len, got)), sum(map(len, want))
+    assert n >= 0.9 * all_, (n, all_)
+    return n
 
 
+@pytest.mark.parametrize("kinds", ["substitutions", "all edits"])
+@pytest.mark.parametrize("share", [0.1, 0.2, 0.25, 0.3, 0.35])
 @pytest.mark.parametrize("words", [2000, 40])
-def test_items_are_found_up_to_the_limit(words):
+def test_items_are_found_up_to_the_limit(words, share, kinds):
     rng = random.Random(words)
     word = lambda: f"w{int(rng.random() ** 2 * words)}"
-    items = [[word() for _ in range(n)] for n in [*range(8, 21)] * 3 + [65, 130]]
-    texts = [[word() for _ in range(rng.randrange(30))] + edited(rng, item, int(0.35 * len(item)), word) + [word() for _ in range(rng.randrange(30))] for item in items]
+    items = [[word() for _ in range(n)] for n in [*range(8, 21)] * 2 + [30, 65, 130]]
+    texts = []
+    for item in items:
+        if kinds == "all edits":
+            held = edited(rng, item, int(share * len(item)), word)
+        else:
+            held = list(item)
+            for at in rng.sample(range(len(item)), int(share * len(item))):
+                held[at] = word()
+        texts.append([word() for _ in range(rng.randrange(30))] + held + [word() for _ in range(rng.randrange(30))])
     assert check_hits(items, texts) >= len(items)
 
 
+def test_hits_do_not_depend_on_the_other_items():
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(300)}"
+    items = [" ".join(word() for _ in range(rng.randrange(1, 40))) for _ in range(40)]
+    texts = [" ".join([word() for _ in range(10)] + edited(rng, i.split(), len(i.split()) // 4, word) + [word() for _ in range(10)]) for i in items]
+    for got in zip(found_items(items, texts), *[found_items([i if n % 4 == part else "" for n, i in enumerate(items)], texts) for part in range(4)]):
+        assert got[0] == {k: v for part in got[1:] for k, v in part.items()}
+
+
+def test_long_text_of_one_repeated_passage():
+    item = [f"w{n % 7}" for n in range(12)]
+    assert found_items([" ".join(item)], [" ".join(item * 3000), "a " * 30000]) == [{0: 0}, {}]
+
+
 def test_short_items_have_the_same_limit():
     rng = random.Random(5)
     word = lambda: f"w{rng.randrange(60)}"
@@ -590,14 +617,17 @@ def test_short_items_have_the_same_limit():
     assert found_items(["one two three four five six seven"], ["so one two three x five six seven it is"]) == [{0: 1}]
 
 
-def test_pieces_are_disjoint_and_enough():
-    rng = random.Random(4)
-    items = [" ".join(f"w{rng.randrange(30)}" for _ in range(n)) for n in [*range(0, 70), 127, 128, 129, 1000]]
-    made = decontaminate.Items(list(range(len(items))), items)
-    item, at, words = decontaminate.pieces(made.first, made.size, made.limit, made.h)
-    assert (np.bincount(item, minlength=len(items)) == np.where(made.size > 0, made.limit + 1, 0)).all()
-    held = np.concatenate([np.arange(a, a + n) for a, n in zip(at, words)])
-    assert len(np.unique(held)) == len(held) and (made.doc[at] == item).all() and (made.doc[at + words - 1] == item).all()
+def test_walk_keeps_hamming_distance_small():
+    """Equal strings agree at every step wherever they stand; an edit leaves most of the tables' samples equal."""
+    rng = np.random.default_rng(3)
+    walk = decontaminate.Walk(24)
+    item = rng.integers(1, 1 << 62, 24).astype(np.uint64)
+    text = np.concatenate([rng.integers(1, 1 << 62, 5).astype(np.uint64), item, rng.integers(1, 1 << 62, 40).astype(np.uint64)])
+    a = walk.keys(item, np.array([0]), np.array([24]))
+    assert (a == walk.keys(text, np.array([5]), np.array([24]))).all()
+    text[9] ^= np.uint64(1)
+    assert 0.3 < (a == walk.keys(text, np.array([5]), np.array([24]))).mean() < 1
+    assert (a == walk.keys(text, np.array([40]), np.array([24]))).mean() < 0.1
 
 
 def test_edit_distance_is_exact():

@@ -4,14 +4,25 @@ Edit distance is counted in words (runs of letters, digits and bytes above 0x7F;
 the least edit distance between it and any run of words of the document is at most MAX_DISTANCE times the item's words,
 whatever its size: items of 1 or 2 words occur whole, of 3 to 5 with one edit, of 6 to 8 with two.
 
-The search is exact: k edits touch at most k of an item's k + 1 disjoint pieces, so a run within k edits holds one piece
-unedited, at most k words off its place. Pieces have 1 to PIECE words and are those of the least expected number of
-occurrences, by the words' counts in the items; any choice finds all. Where a document holds a piece, the words
-that the item could reach from there are compared exactly. No candidate is dropped unseen, so there is no recall to tune.
+Method: a window of the item's own size starts at every word of a document. The CGK walk embeds items and windows: at
+each of 1.5 times the item's words steps it emits the word it stands on, and a random bit of that word and step says
+whether it moves on, so strings a few edits apart emit mostly equal words at equal steps. Bit-sampling LSH compares
+SAMPLES random steps at a time, in repetitions each with a walk of its own; windows that agree with an item in any
+table are verified by exact edit distance, so a hit is always one. Recall falls with the share of edits and the item's
+size, so repetitions grow with the size (``tables``). Measured at the limit of 0.35, the worse of substitutions alone and
+of all three edits: 1.00 of 8 words, 0.99 of 20, 1.00 of 64 and 130, 0.98 of 300. The target is 0.9; the tests hold every
+share of edits against it.
+
+Before a window is embedded, it is counted: k edits touch at most k words and 2 k pairs of neighbouring words, so of a
+window's words and pairs at least size - k and size - 1 - 2 k are an item's. Windows with fewer can't be hits of any
+item of that size, whatever the other items or how they are dealt to blocks; no other window is left out.
 
 Items are broadcast in blocks of at most BLOCK_WORDS words; a larger benchmark takes several passes over the documents.
-Defined cases: null or empty texts are clean; items without words match nothing; equal items are separate items;
-repeated documents are judged each by itself; a null item_id counts as an item but isn't listed.
+Defined cases: null or empty texts are clean; items without words match nothing; equal items are separate items, each
+listed; of several runs as near, the distance is that of any; repeated documents are judged each by itself; a null
+item_id counts as an item but isn't listed; an empty table gives an empty one, an empty benchmark leaves every document
+clean. Very long texts are whole: windows are embedded SLAB at a time, and neighbouring candidates of an item are
+compared by cells of its size, so memory doesn't grow with them. Added columns take names that no column of docs has.
 """
 
 from __future__ import annotations
@@ -28,10 +39,12 @@ from . import common as C
 
 MAX_DISTANCE = 0.35
 BLOCK_WORDS = 1 << 20
-#: Words of a piece at most; pieces of longer items are chosen segment by segment.
-PIECE, SEGMENT = 3, 64
-#: Bounds on memory: segments and pairs of a piece and a place at a time, words compared at a time.
-SEGMENTS, PAIRS, CELLS = 4096, 1 << 18, 1 << 16
+#: Steps compared in each repetition.
+SAMPLES = 2
+#: Sizes of one class are counted together, with the least bounds of them, then each with its own.
+CLASS = 1.2
+#: Bounds on memory: windows embedded at a time, pairs of an item and a place at a time, words compared at a time.
+SLAB, PAIRS, CELLS = 4096, 1 << 18, 1 << 16
 _U = np.uint64
 _PAD = _U(0x2545F4914F6CDD1D)
 _WORD = np.zeros(256, bool)
@@ -53,47 +66,6 @@ def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.searchsorted(offsets, starts, "right") - 1, C.span_hash(C.prefix_hash(data), starts, ends)
 
 
-def pieces(first: np.ndarray, size: np.ndarray, limit: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(item, place in h, words) of limit + 1 disjoint pieces of each item that has words."""
-    word, which, count = np.unique(h, return_inverse=True, return_counts=True)
-    share = (count / max(1, len(h)))[which]
-    # Segments of equal size, each with its share of the item's pieces.
-    parts = -(-size // SEGMENT)
-    item = np.repeat(np.arange(len(size)), parts)
-    k = np.arange(len(item)) - np.repeat(np.cumsum(parts) - parts, parts)
-    lo, hi = k * size[item] // parts[item], (k + 1) * size[item] // parts[item]
-    need = (limit[item] + 1) * hi // size[item] - (limit[item] + 1) * lo // size[item]
-    start, length = first[item] + lo, hi - lo
-    out = [np.zeros((3, 0), np.int64)]
-    order = np.argsort(length, kind="stable")
-    for seg in np.array_split(order, max(1, -(-len(order) // SEGMENTS))):
-        if not len(seg):
-            continue
-        width, most = int(length[seg].max()), int(need[seg].max())
-        # rest[s % (PIECE + 1)]: least sum of j pieces' expected occurrences from word s on.
-        rest = np.full((PIECE + 1, len(seg), most + 1), np.inf)
-        rest[:, :, 0] = 0
-        take = np.zeros((width, len(seg), most + 1), np.int8)
-        for s in range(width - 1, -1, -1):
-            new = rest[(s + 1) % (PIECE + 1)].copy()
-            cost = np.ones(len(seg))
-            for n in range(1, PIECE + 1):
-                inside = s + n <= length[seg]
-                cost = np.where(inside, cost * share[np.where(inside, start[seg] + s + n - 1, 0)], np.inf)
-                other = rest[(s + n) % (PIECE + 1), :, :-1] + cost[:, None]
-                less = other < new[:, 1:]
-                new[:, 1:][less] = other[less]
-                take[s, :, 1:][less] = n
-            rest[s % (PIECE + 1)] = new
-        at, left, every = np.zeros(len(seg), np.int64), need[seg].copy(), np.arange(len(seg))
-        for s in range(width):
-            n = np.where(at == s, take[s, every, left], 0)
-            got = n > 0
-            out.append(np.stack([item[seg][got], start[seg][got] + s, n[got]]))
-            at, left = at + np.where(at == s, np.maximum(n, 1), 0), left - got
-    return tuple(np.concatenate(out, axis=1))
-
-
 def _among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     if not len(ordered):
         return np.zeros(len(x), bool)
@@ -101,6 +73,73 @@ def _among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(i, len(ordered) - 1)] == x
 
 
+def tables(size: int) -> int:
+    """Repetitions for items of ``size`` words."""
+    return 32 + size // 4
+
+
+class Walk:
+    """The walks of all repetitions over strings of ``size`` words, and the steps that each compares."""
+
+    def __init__(self, size: int):
+        rng = np.random.default_rng(size)
+        self.size, self.steps, self.tables = size, size + size // 2, tables(size)
+        # Tables by their last step, so that those that still walk come first.
+        picked = rng.integers(0, self.steps, (SAMPLES, self.tables))
+        picked = picked[:, np.argsort(-picked.max(axis=0), kind="stable")]
+        self.walking = [int((picked.max(axis=0) >= step).sum()) for step in range(self.steps)]
+        self.compared = [np.unique(np.nonzero(picked == step)[1]) for step in range(self.steps)]
+        self.odd = rng.integers(0, 1 << 63, (self.steps, self.tables, 1), np.int64).astype(_U) * _U(2) + _U(1)
+
+    def keys(self, h: np.ndarray, start: np.ndarray, room: np.ndarray) -> np.ndarray:
+        """(tables, n) keys of the strings h[start : start + room], room at most size."""
+        # Each string with as many blanks after it as a walk can reach. The top bit of an odd multiple is the coin.
+        width = self.steps + 1
+        at = np.arange(width)
+        text = np.where(at < room[:, None], h[np.minimum(start[:, None] + at, len(h) - 1)], _PAD).reshape(-1)
+        text ^= text >> _U(31)
+        place = np.repeat((np.arange(len(start)) * width)[None, :], self.tables, axis=0)
+        key = np.repeat(np.arange(1, self.tables + 1, dtype=_U)[:, None], len(start), axis=1)
+        for step, (n, here) in enumerate(zip(self.walking, self.compared)):
+            if not n:
+                break
+            word = text[place[:n]]
+            if len(here):
+                key[here] = C.mix(key[here] * _U(3) + word[here])
+            word *= self.odd[step, :n]
+            word >>= _U(63)
+            place[:n] += word.view(np.int64)
+        return key
+
+
+class Known:
+    """A sorted set of hashes, and for each size of items which of them its items hold."""
+
+    def __init__(self, h: np.ndarray, size: np.ndarray):
+        self.h, which = np.unique(h, return_inverse=True)
+        order = np.argsort(size, kind="stable")
+        cut = np.flatnonzero(np.diff(size[order])) + 1
+        self.by_size = {int(size[part[0]]): np.unique(which[part]) for part in np.split(order, cut) if len(part)}
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(self.h >> _U(44)).astype(np.int64)] = True
+
+    def place(self, h: np.ndarray) -> np.ndarray:
+        """For each hash its place in the set, or the place past the end, which no size holds."""
+        out = np.full(len(h), len(self.h), np.int64)
+        at = np.flatnonzero(self.maybe[(h >> _U(44)).astype(np.int64)])
+        if len(at):
+            i = np.minimum(np.searchsorted(self.h, h[at]), len(self.h) - 1)
+            out[at] = np.where(self.h[i] == h[at], i, len(self.h))
+        return out
+
+    def held(self, sizes: list[int]) -> np.ndarray:
+        """For each place whether items of one of the sizes hold it."""
+        out = np.zeros(len(self.h) + 1, bool)
+        for size in sizes:
+            out[self.by_size.get(size, [])] = True
+        return out
+
+
 class Items:
     """The tables of one block of items."""
 
@@ -112,23 +151,31 @@ class Items:
         self.first = np.concatenate([[0], np.cumsum(n)])
         self.size, self.h, self.doc = n, h, doc
         self.limit = np.floor(MAX_DISTANCE * n).astype(np.int64)
-        item, at, words = pieces(self.first, n, self.limit, h)
-        self.starts = np.unique(h[at])
-        #: By words of a piece: sorted hashes, items, and the words of the item before the piece.
-        self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        for k in range(1, PIECE + 1):
-            if (words == k).any():
-                it, a = item[words == k], at[words == k]
-                v = _run_hash(h, a, k)
-                order = np.argsort(v, kind="stable")
-                self.tables[k] = v[order], it[order], (a - self.first[it])[order]
+        #: Classes of sizes, each a list of its sizes; by size the walk, its sorted keys and their items.
+        self.classes: list[list[int]] = []
+        self.walks: dict[int, tuple[Walk, np.ndarray, np.ndarray]] = {}
+        for size in np.unique(n[n > 0]).tolist():
+            if not self.classes or size > CLASS * self.classes[-1][0]:
+                self.classes.append([])
+            self.classes[-1].append(size)
+            own = np.flatnonzero(n == size)
+            walk = Walk(size)
+            keys = np.concatenate([walk.keys(h, self.first[part], np.full(len(part), size)) for part in np.array_split(own, -(-len(own) // SLAB))], axis=1)
+            order = np.argsort(keys.reshape(-1), kind="stable")
+            self.walks[size] = walk, keys.reshape(-1)[order], np.tile(own, walk.tables)[order]
+        self.words = Known(h, n[doc])
+        pair = doc[1:] == doc[:-1]
+        self.pairs = Known(_pair(h[:-1], h[1:])[pair], n[doc[1:]][pair])
 
 
-def _run_hash(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
-    v = np.zeros(len(at), _U)
-    for j in range(k):
-        v = C.mix(v * _U(3) + h[at + j])
-    return v
+def least(size: int) -> tuple[int, int, int]:
+    """Of a hit of an item of ``size`` words: its most words, and the least of its words and pairs that are the item's."""
+    k = math.floor(MAX_DISTANCE * size)
+    return size + k, size - k, size - 1 - 2 * k
+
+
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return C.mix(a * _U(3) + b)
 
 
 def _expand(keys: np.ndarray, ordered: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -170,6 +217,54 @@ def edit_distances(items: Items, item: np.ndarray, h: np.ndarray, lo: np.ndarray
     return out
 
 
+def windows(items: Items, doc: np.ndarray, h: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(size, starts) of the windows that begin with a word of items of that size, and hold as many words and pairs of
+    them as a hit must. A run's first words that aren't the item's can go without making it farther from the item."""
+    place = items.words.place(h)
+    pair = np.full(len(h), len(items.pairs.h), np.int64)
+    both = np.flatnonzero((place[1:] < len(items.words.h)) & (place[:-1] < len(items.words.h)) & (doc[1:] == doc[:-1]))
+    if len(both):
+        pair[both] = items.pairs.place(_pair(h[both], h[both + 1]))
+    for sizes in items.classes:
+        bounds = np.array([least(size) for size in sizes])
+        at = _enough(items, sizes, place, pair, np.arange(len(h)), end, int(bounds[:, 0].max()), int(bounds[:, 1].min()), int(bounds[:, 2].min()))
+        if not len(at):
+            continue
+        # The words that these windows cover, side by side.
+        span = np.minimum(at + int(bounds[:, 0].max()), end[at])
+        cover = np.cumsum(np.bincount(at, minlength=len(h) + 1) - np.bincount(span, minlength=len(h) + 1))[:-1] > 0
+        on, rank = np.flatnonzero(cover), np.cumsum(cover) - 1
+        stop = rank[end[on] - 1] + 1
+        stop[~cover[end[on] - 1]] = len(on)
+        for size, bound in zip(sizes, bounds.tolist()):
+            got = _enough(items, [size], place[on], pair[on], rank[at], stop, *bound)
+            if len(got):
+                yield size, on[got]
+
+
+def _enough(items: Items, sizes: list[int], place: np.ndarray, pair: np.ndarray, at: np.ndarray, end: np.ndarray, span: int, words: int, pairs: int) -> np.ndarray:
+    """Those of at whose next span places, up to end, hold enough words and pairs of items of these sizes."""
+    sums = np.zeros(len(place) + 1, np.int32)
+    held = items.words.held(sizes)[place]
+    at = at[held[at]]
+    # A pair that starts on a window's last word isn't the window's, but counting it loses nothing.
+    for need, flags in ((pairs, items.pairs.held(sizes)[pair]), (words, held)):
+        if need > 0 and len(at):
+            np.cumsum(flags, out=sums[1:])
+            at = at[sums[np.minimum(at + span, end[at])] - sums[at] >= need]
+    return at
+
+
+def proposed(items: Items, size: int, start: np.ndarray, h: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(item, start) of windows that agree with an item in some table, once each."""
+    walk, keys, owner = items.walks[size]
+    for part in np.array_split(start, -(-len(start) // SLAB)):
+        got = walk.keys(h, part, np.minimum(size, end[part] - part)).reshape(-1)
+        for i, j in _expand(got, keys):
+            both = np.unique(np.stack([owner[j], part[i % len(part)]]), axis=1)
+            yield both[0], both[1]
+
+
 def search(items: Items, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, item, distance) of all items within reach of a document of the chunk, once a pair."""
     none = np.zeros(0, np.int64)
@@ -179,14 +274,11 @@ def search(items: Items, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndar
     counts = np.bincount(doc, minlength=len(offsets) - 1)
     base = np.cumsum(counts) - counts
     end = (base + counts)[doc]
-    at = np.flatnonzero(_among(h, items.starts))
     d_all, i_all, e_all = [], [], []
-    for words, (keys, owner, before) in items.tables.items():
-        pos = at[at + words <= end[at]]
-        for i, j in _expand(_run_hash(h, pos, words), keys):
-            item, d, begin = owner[j], doc[pos[i]], pos[i] - before[j]
+    for size, starts in windows(items, doc, h, end):
+        for item, begin in proposed(items, size, starts, h, end):
             # Places of an item that are less than its size apart are compared at once.
-            cell = begin // items.size[item]
+            d, cell = doc[begin], begin // size
             order = np.lexsort((begin, cell, d, item))
             item, d, begin, cell = item[order], d[order], begin[order], cell[order]
             new = np.ones(len(item), bool)
@@ -194,10 +286,8 @@ def search(items: Items, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndar
             first = np.flatnonzero(new)
             last = np.concatenate([first[1:], [len(item)]]) - 1
             item, d = item[first], d[first]
-            size, limit = items.size[item], items.limit[item]
+            limit = items.limit[item]
             a, b = np.maximum(begin[first] - limit, base[d]), np.minimum(begin[last] + size + limit, base[d] + counts[d])
-            ok = b - a >= size - limit
-            item, d, a, b, limit = item[ok], d[ok], a[ok], b[ok], limit[ok]
             e = edit_distances(items, item, h, a, b)
             hit = e <= limit
             d_all.append(d[hit])
