@@ -275,6 +275,16 @@ def brute_removal(texts, length):
     return out
 
 
+def brute_passages(texts, length=51):
+    """Words of each text in runs of length words that another text has too."""
+    words = [words_of(t) for t in texts]
+    where = collections.defaultdict(set)
+    for n, w in enumerate(words):
+        for i in range(len(w) - length + 1):
+            where[tuple(w[i : i + length])].add(n)
+    return [len({i + k for i in range(len(w) - length + 1) if len(where[tuple(w[i : i + length])]) > 1 for k in range(length)}) for w in words]
+
+
 @pytest.mark.parametrize("cap", [4096, 2])
 def test_suffix_dedup(spark, edge, none, monkeypatch, cap):
     monkeypatch.setattr(suffix_dedup, "CAP", cap)
@@ -283,11 +293,19 @@ def test_suffix_dedup(spark, edge, none, monkeypatch, cap):
     passage = fill(700)
     rows = [(i, fill(rng.randrange(300)) + passage[rng.randrange(200) : 500 + rng.randrange(200)] + fill(rng.randrange(300))) for i in range(12)]
     rows += [(20, "ab" * 600), (21, passage), (22, passage), (23, passage[:399]), (24, passage[:400]), (25, None), (26, ""), (None, fill(50) + passage)]
-    small_edge = [(r["doc_id"], r["text"]) for r in edge.collect() if r["doc_id"] not in (7, 8)]
-    for part in (rows, small_edge):
+    words = [f"{rng.choice('abcdef')}{n % 83}" for n in range(70)]
+    rows += [(30 + n, " ".join([f"x{n}y{k}" for k in range(n * 7)] + words[n : n + 49 + n] + [f"z{n}"])) for n in range(6)]
+    rows += [(40, " ".join(["one", "two", *[f"q{n}" for n in range(60)], "three"] * 2)), (41, "it is " * 200)]
+    # Whole texts of 30,000 words too, in few columns to keep the fixture small.
+    edges = [(r["doc_id"], r["text"]) for r in edge.collect()]
+    for part in (rows, edges):
         got = collections.Counter(tuple(r) for r in suffix_dedup.remove_repeats(spark.createDataFrame(part, "doc_id long, text string").repartition(3)).collect())
-        want = collections.Counter((d, *x) for (d, _), x in zip(part, brute_removal([t for _, t in part], 400)))
+        want = collections.Counter((d, *x, n) for (d, _), x, n in zip(part, brute_removal([t for _, t in part], 400), brute_passages([t for _, t in part])))
         assert got == want
+    assert sum(n > 0 for n in brute_passages([t for _, t in rows])) >= 8
+    clashing = edge.withColumnsRenamed({"score": "key", "row": "ctx", "hits": "items", "part": "r", "k_th": "unit"})
+    clashing = clashing.filter("doc_id < 7")
+    assert sorted(map(tuple, suffix_dedup.remove_repeats(clashing).collect())) == sorted(map(tuple, suffix_dedup.remove_repeats(clashing.select("text", "doc_id")).collect()))
     assert suffix_dedup.remove_repeats(none).count() == 0
 
 
@@ -297,7 +315,7 @@ def test_anchors_cover_all_windows():
     doc, at, lo, hi, *_ = suffix_dedup.anchors(data, offsets)
     got = sorted((d, p) for d, a, b in zip(doc.tolist(), lo.tolist(), hi.tolist()) for p in range(a, b + 1))
     assert got == [(d, p) for d in range(4) for p in range(max(0, offsets[d + 1] - offsets[d] - 399))]
-    assert (at >= lo).all() and (at - hi <= 400 - suffix_dedup.K).all()
+    assert (at >= lo).all() and (at - hi <= 400 - suffix_dedup.BYTES.k).all()
 
 
 # -- 5 ----------------------------------------------------------------------------------------
