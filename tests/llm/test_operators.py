@@ -82,15 +82,37 @@ def test_word_encoder_equals_whole_texts():
     assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == [w.tolist() for w in whole(odd)]
 
 
+def test_text_with_more_words_than_the_table_has_slots(monkeypatch):
+    monkeypatch.setattr(token_files, "TABLE_BITS", 6)
+    enc = token_files.WordEncoder(token_files.default_tokenizer(), 2)
+    texts = ["a b c", " ".join(f"w{n}x" for n in range(3000)), "c b d", " ".join(f"v{n}" for n in range(60)), "a d"]
+    for part in ([t] for t in texts):
+        data, offsets = C.utf8(pa.array(part, pa.large_string()))
+        assert enc.encode(data, offsets)[0].tolist() == whole(part)[0].tolist()
+    assert enc.table.bits == 6
+    with pytest.raises(ValueError, match="full"):
+        enc.table.add(np.arange(1, 100, dtype=np.uint64), [b"x"] * 99, [np.zeros(1, "<u2")] * 99)
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(C, "span_hash", lambda sums, starts, ends: (ends - starts).astype(np.uint64))
+    enc = token_files.WordEncoder(token_files.default_tokenizer(), 2)
+    texts = ["some words here have equal sizes", "more text that says some other thing", "here here same"]
+    data, offsets = C.utf8(pa.array(texts, pa.large_string()))
+    for _ in range(2):
+        assert enc.encode(data, offsets)[0].tolist() == np.concatenate(whole(texts)).tolist()
+
+
 @pytest.mark.parametrize("n", [1, 7, 2048, 2049, 2048 * 300 + 5])
-def test_coder_round_trip_and_checkpoints(n):
+def test_coder_round_trip_by_segments(n):
     ids = np.minimum(np.random.default_rng(1).zipf(1.3, n), 49407)
     coder = token_files.Coder(token_files.scaled(np.bincount(ids, minlength=49408)))
-    block = coder.encode(ids)
-    assert (coder.decode(block) == ids).all()
-    if n > 2048 * 256:
-        at = token_files.CHECK_STEPS * token_files.LANES
-        assert (coder.decode(block, 1) == ids[at:]).all() and (coder.decode(block, 0, 1) == ids[:at]).all()
+    segments = coder.encode(ids)
+    assert len(segments) == -(-n // token_files.READ_IDS) and sum(k for *_, k in segments) == n
+    at = n
+    for states, words, k in reversed(segments):  # each alone, in any order
+        assert (coder.decode(states, words, k) == ids[at - k : at]).all()
+        at -= k
 
 
 def check_tokens(spark, df):
@@ -115,16 +137,42 @@ def test_token_files(spark, edge, none, small):
     assert token_files.token_digest(none, token_files.default_tokenizer()).count() == 0
 
 
+def test_shard_is_read_in_ranges(tmp_path):
+    rng = np.random.default_rng(2)
+    freq = token_files.scaled(np.ones(50, np.int64))
+    lengths = [1, 5, 700, 1, 64, 0, 3, 2000, 16, 9]
+    ids = rng.integers(0, 50, sum(lengths))
+    uri = f"file://{tmp_path}/b.twr"
+    token_files.write_shard(uri, token_files.Coder(freq, 16, 4), list(range(10)), lengths, ids, 12)
+    ends = np.cumsum(lengths)
+    want = [(k, int(e) - n, ids[e - n : e].tolist()) for k, (e, n) in enumerate(zip(ends, lengths))]
+    for step in (1, 64, 100, 5000):
+        assert [(d, a, i.tolist()) for lo in range(0, int(ends[-1]), step) for d, a, i in token_files.read_shard(uri, freq, lo, lo + step)] == want, step
+
+
+def test_files_are_decoded_by_several_tasks_and_attempts_keep_apart(spark, small, tmp_path):
+    path, out = token_files.default_tokenizer(), f"file://{tmp_path}/t"
+    manifest = C.write_table(token_files.write_token_files(small, out, path, lanes=64, steps=64, check=16), "manifest")
+    again = C.write_table(token_files.write_token_files(small, out, path, lanes=64, steps=64, check=16), "manifest")
+    files = [{r["file"] for r in m.collect()} for m in (manifest, again)]
+    assert not files[0] & files[1]
+    whole_rows = token_files.token_digest(small, path)
+    for m, step in ((manifest, 64 * 16), (again, 5000)):
+        parts = token_files.read_token_files(m, f"{out}/table.bin", step)
+        assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole_rows.collect()))
+        assert m.agg(F.max("n_ids")).first()[0] > 4 * step  # each file several units
+
+
 def test_damaged_shard_is_found(tmp_path):
-    coder = token_files.Coder(token_files.scaled(np.ones(10, np.int64)))
+    freq = token_files.scaled(np.ones(10, np.int64))
     uri = f"file://{tmp_path}/a.twr"
-    token_files.write_shard(uri, coder, [1, 2], [3, 2], np.array([1, 2, 3, 4, 5]))
-    assert [(d, i.tolist()) for d, i in token_files.read_shard(uri, coder)] == [(1, [1, 2, 3]), (2, [4, 5])]
+    token_files.write_shard(uri, token_files.Coder(freq), [1, 2], [3, 2], np.array([1, 2, 3, 4, 5]))
+    assert [(d, a, i.tolist()) for d, a, i in token_files.read_shard(uri, freq)] == [(1, 0, [1, 2, 3]), (2, 3, [4, 5])]
     raw = bytearray((tmp_path / "a.twr").read_bytes())
     raw[40] ^= 1
     (tmp_path / "a.twr").write_bytes(raw)
     with pytest.raises(ValueError, match="damaged"):
-        list(token_files.read_shard(uri, coder))
+        list(token_files.read_shard(uri, freq))
 
 
 # -- 2 ----------------------------------------------------------------------------------------

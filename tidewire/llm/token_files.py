@@ -6,18 +6,26 @@ File format (little endian), one file a shard, shards in ascending document orde
 
 The frequency table is shared: one file ``table.bin`` holds a u32 frequency per id, summing to 2**SCALE_BITS.
 A block codes up to LANES * STEPS ids in LANES interleaved coders of 64-bit state: id t of a block belongs to lane
-t % LANES. Within a block a checkpoint every CHECK_STEPS steps holds the position in the word stream and all states,
-so readers may start there; blocks are independent. Each block has a CRC-32 of its coded bytes and one of its ids.
-The footer (zlib JSON) lists blocks (offset, bytes, first id, ids, checksums) and, per document, doc_id and length.
+t % LANES. Within a block a checkpoint every CHECK_STEPS steps holds the position in the word stream and all states;
+blocks are independent. What lies between two checkpoints is a segment, which can be read and decoded alone. The footer
+(zlib JSON) has the lanes, the segments (offset and bytes of their states and of their words, first id, ids, a CRC-32 of
+both and one of the ids) and, per document, doc_id and length.
+
+Files are read in ranges of READ_IDS ids, each a task's unit: it decodes from the last checkpoint before its first
+document's start up to its last document's end. A file's name is its attempt's own; the manifest says which files count.
 
 Defined cases: null or empty text gives the end id alone; null doc_id sorts first; repeated doc_ids are ordered by
-their ids' bytes, equal rows follow each other; an empty table gives a table file and no shard.
+their ids' bytes, equal rows follow each other; an empty table gives a table file and no shard; a text of any length is
+one document of one shard, and its words get a table of their own if they are more than the common one holds; other
+columns than doc_id and text are never read, whatever their names.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +33,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import common as C
 
@@ -33,6 +40,8 @@ MAGIC = b"TWR1"
 SCALE_BITS, LANES, STEPS, CHECK_STEPS = 20, 2048, 512, 256
 #: Ids a shard holds at most, unless one document is longer; bounds what a reader keeps in memory.
 SHARD_IDS = 4 << 20
+#: Ids of a unit of reading.
+READ_IDS = LANES * CHECK_STEPS
 #: Size of a worker's word table; at 60 % it starts anew.
 TABLE_BITS = 21
 #: Keeps words apart in one call, and how many a call takes.
@@ -44,14 +53,32 @@ _LOW = _U(1) << _U(31)
 # -- tokenizer --------------------------------------------------------------------------------
 
 
+class Growing:
+    """An array that grows at its end."""
+
+    def __init__(self, kind):
+        self.flat, self.used = np.zeros(1 << 16, kind), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        while self.used + len(values) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + len(values)] = values
+        self.used += len(values)
+
+
+def spread(first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The places first[i] .. first[i] + length[i] - 1 of all i, one after another."""
+    return np.repeat(first - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+
+
 class WordTable:
-    """Ids of words by 64-bit content hash: open addressing in arrays, looked up and filled many words at a time."""
+    """Words with their bytes and ids, found by 64-bit hash many at a time: open addressing in arrays."""
 
     def __init__(self, bits: int, code: str):
-        self.bits, self.mask = bits, (1 << bits) - 1
-        self.keys, self.entry = np.zeros(1 << bits, _U), np.zeros(1 << bits, np.int32)
-        self.flat, self.used = np.zeros(1 << 16, code), 0
-        self.offset, self.length, self.n = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 0
+        self.bits, self.mask, self.room = bits, (1 << bits) - 1, (1 << bits) * 6 // 10
+        self.keys, self.entry, self.keyed = np.zeros(1 << bits, _U), np.zeros(1 << bits, np.int32), 0
+        self.ids, self.raw = Growing(code), Growing(np.uint8)
+        self.id_at, self.id_n, self.raw_at, self.raw_n = (Growing(np.int64) for _ in range(4))
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """The entry of each hash, or -1."""
@@ -65,26 +92,44 @@ class WordTable:
             todo, at = todo[on], (at[on] + 1) & self.mask
         return out
 
-    def add(self, h: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
-        """New entries for different hashes that aren't in the table."""
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while self.n + len(h) > len(self.offset):
-            self.offset, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.offset, self.length))
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.offset[self.n : self.n + len(h)] = self.used + np.cumsum(lengths) - lengths
-        self.length[self.n : self.n + len(h)] = lengths
+    def same(self, entry: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Whether data[start:end] are the bytes of each entry."""
+        length = ends - starts
+        out = self.raw_n.flat[entry] == length
+        at = np.flatnonzero(out)
+        differ = data[spread(starts[at], length[at])] != self.raw.flat[spread(self.raw_at.flat[entry[at]], length[at])]
+        if differ.any():
+            out[np.repeat(at, length[at])[differ]] = False
+        return out
+
+    def append(self, words: list[bytes], ids: list[np.ndarray]) -> np.ndarray:
+        """New entries; without a key they can be used but not found."""
+        first = self.id_at.used
+        for values, at, n in ((ids, self.id_at, self.id_n), (words, self.raw_at, self.raw_n)):
+            sizes = np.array([len(v) for v in values], np.int64)
+            at.extend((self.ids if values is ids else self.raw).used + np.cumsum(sizes) - sizes)
+            n.extend(sizes)
+            if values is ids:
+                self.ids.extend(np.concatenate(ids))
+            else:
+                self.raw.extend(np.frombuffer(b"".join(words), np.uint8))
+        return np.arange(first, self.id_at.used)
+
+    def add(self, h: np.ndarray, words: list[bytes], ids: list[np.ndarray]) -> None:
+        """New entries for different hashes that aren't in the table; there must be room."""
+        if self.keyed + len(h) > self.room:
+            raise ValueError("the word table is full")
+        entry = self.append(words, ids)
         todo, at = np.arange(len(h)), (h >> _U(64 - self.bits)).astype(np.int64)
         while len(todo):
             free = self.keys[at] == 0
             self.keys[at[free]] = h[todo[free]]
             mine = free & (self.keys[at] == h[todo])
-            self.entry[at[mine]] = self.n + todo[mine]
+            self.entry[at[mine]] = entry[todo[mine]]
             todo, at = todo[~mine], at[~mine]
             step = self.keys[at] != 0
             at = np.where(step, (at + 1) & self.mask, at)
-        self.used += len(ids)
-        self.n += len(h)
+        self.keyed += len(h)
 
 
 class WordEncoder:
@@ -147,24 +192,36 @@ class WordEncoder:
         doc, starts, ends = self._words(data, offsets)
         h = C.span_hash(C.prefix_hash(data), starts, ends)
         h[h == 0] = 1
-        entry = self.table.find(h)
+        table = self.table
+        entry = table.find(h)
         if (entry < 0).any():
-            if self.table.n + int((entry < 0).sum()) > (1 << TABLE_BITS) * 6 // 10:
-                self.table = WordTable(TABLE_BITS, self.code)
+            new = np.unique(h[entry < 0])
+            if table.keyed + len(new) > table.room:
+                # A new table; a text with more words than a common one holds has a larger one to itself.
+                new = np.unique(h)
+                need = math.ceil(math.log2(max(1, len(new)) / 0.6 + 1))
+                table = WordTable(max(TABLE_BITS, need), self.code)
                 entry[:] = -1
-            new, first = np.unique(h[entry < 0], return_index=True)
-            first = np.flatnonzero(entry < 0)[first]
-            raw = data.tobytes()
-            ids = self._of_words([raw[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist())])
-            self.table.add(new, np.concatenate(ids), np.array([len(i) for i in ids], np.int64))
-            entry[entry < 0] = self.table.find(h[entry < 0])
-        length = self.table.length[entry]
+                if need <= TABLE_BITS:
+                    self.table = table
+            todo = np.flatnonzero(entry < 0)
+            new, first = np.unique(h[todo], return_index=True)
+            table.add(new, *self._encoded(data, starts[todo[first]], ends[todo[first]]))
+            entry[todo] = table.find(h[todo])
+        # Words of one hash may differ: those that aren't what their entry holds are encoded each.
+        other = np.flatnonzero(~table.same(entry, data, starts, ends))
+        if len(other):
+            entry[other] = table.append(*self._encoded(data, starts[other], ends[other]))
+        length = table.id_n.flat[entry]
         total = int(length.sum())
-        at = np.repeat(self.table.offset[entry] - (np.cumsum(length) - length), length) + np.arange(total)
         out = np.full(total + n, self.end_id, self.code)
-        out[np.arange(total) + np.repeat(doc, length)] = self.table.flat[at]
+        out[np.arange(total) + np.repeat(doc, length)] = table.ids.flat[spread(table.id_at.flat[entry], length)]
         return out, (np.bincount(doc, length, n) if len(doc) else np.zeros(n)).astype(np.int64) + 1
 
+    def _encoded(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], list[np.ndarray]]:
+        words = [data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())]
+        return words, self._of_words([w.decode() for w in words])
+
     @staticmethod
     def _words(data: np.ndarray, offsets: np.ndarray):
         inside = (data != 0x20) & (data != 0x0A)
@@ -229,9 +286,10 @@ def scaled(counts: np.ndarray) -> np.ndarray:
 
 
 class Coder:
-    """Codes blocks of ids under one static table."""
+    """Codes blocks of ids under one static table, in ``lanes`` coders with a checkpoint every ``check`` steps."""
 
-    def __init__(self, freq: np.ndarray):
+    def __init__(self, freq: np.ndarray, lanes: int = LANES, check: int = CHECK_STEPS):
+        self.lanes, self.check = lanes, check
         self.freq = freq.astype(_U)
         self.start = np.concatenate([[0], np.cumsum(freq.astype(np.int64))[:-1]]).astype(_U)
         self.limit = self.freq << _U(31 - SCALE_BITS + 32)
@@ -244,14 +302,15 @@ class Coder:
             self._symbols = np.repeat(np.arange(len(self.freq), dtype=kind), self.freq.astype(np.int64))
         return self._symbols
 
-    def encode(self, ids: np.ndarray) -> bytes:
-        n = len(ids)
-        steps = -(-n // LANES)
-        grid = np.zeros(steps * LANES, np.int64)
+    def encode(self, ids: np.ndarray) -> list[tuple[bytes, bytes, int]]:
+        """Segments of a block, in order: the states at their checkpoint, their words, and how many ids they hold."""
+        n, lanes = len(ids), self.lanes
+        steps = -(-n // lanes)
+        grid = np.zeros(steps * lanes, np.int64)
         grid[:n] = ids
-        grid = grid.reshape(steps, LANES)
-        live = n - (steps - 1) * LANES
-        x, out, marks = np.full(LANES, _LOW, _U), [b""] * steps, []
+        grid = grid.reshape(steps, lanes)
+        live = n - (steps - 1) * lanes
+        x, out, found = np.full(lanes, _LOW, _U), [], []
         bits, low = _U(SCALE_BITS), _U(0xFFFFFFFF)
         for t in range(steps - 1, -1, -1):
             s = grid[t] if t < steps - 1 else grid[t, :live]
@@ -259,63 +318,57 @@ class Coder:
             f = self.freq[s]
             over = v >= self.limit[s]
             if over.any():
-                out[t] = (v[over] & low).astype("<u4").tobytes()
+                out.append((v[over] & low).astype("<u4").tobytes())
                 v = np.where(over, v >> _U(32), v)
             q = v // f
             v = (q << bits) + (v - q * f) + self.start[s]
             x[: len(v)] = v
-            if t % CHECK_STEPS == 0:
-                marks.append((t, x.astype("<u8").tobytes()))
-        sizes = np.cumsum([0] + [len(o) // 4 for o in out])
-        head = struct.pack("<II", n, len(marks)) + b"".join(struct.pack("<II", t, int(sizes[t])) + state for t, state in reversed(marks))
-        return head + b"".join(out)
-
-    def decode(self, block: bytes, checkpoint: int = 0, until: int | None = None) -> np.ndarray:
-        """Ids from a checkpoint on, to the checkpoint before ``until`` or the end."""
-        n, k = struct.unpack_from("<II", block)
-        each = 8 + 8 * LANES
-        t0, word0 = struct.unpack_from("<II", block, 8 + checkpoint * each)
-        x = np.frombuffer(block, "<u8", LANES, 16 + checkpoint * each).astype(_U)
-        stream = np.frombuffer(block, "<u4", offset=8 + k * each)
-        steps = -(-n // LANES)
-        end = steps if until is None or until >= k else struct.unpack_from("<II", block, 8 + until * each)[0]
-        live, out = n - (steps - 1) * LANES, np.empty((max(0, end - t0), LANES), np.uint32)
-        bits, mask, at = _U(SCALE_BITS), _U((1 << SCALE_BITS) - 1), word0
-        for t in range(t0, end):
+            if t % self.check == 0:
+                found.append((x.astype("<u8").tobytes(), b"".join(reversed(out)), min(n, (t + self.check) * lanes) - t * lanes))
+                out = []
+        return found[::-1]
+
+    def decode(self, states: bytes, words: bytes, n: int) -> np.ndarray:
+        """The ids of a segment."""
+        x, stream = np.frombuffer(states, "<u8").astype(_U), np.frombuffer(words, "<u4")
+        steps = -(-n // self.lanes)
+        live, out = n - (steps - 1) * self.lanes, np.empty((steps, self.lanes), np.uint32)
+        bits, mask, at = _U(SCALE_BITS), _U((1 << SCALE_BITS) - 1), 0
+        for t in range(steps):
             v = x if t < steps - 1 else x[:live]
             slot = v & mask
             s = self.symbols[slot]
-            out[t - t0, : len(s)] = s
+            out[t, : len(s)] = s
             v = self.freq[s] * (v >> bits) + slot - self.start[s]
             need = np.flatnonzero(v < _LOW)
             if len(need):
                 v[need] = (v[need] << _U(32)) | stream[at : at + len(need)].astype(_U)
                 at += len(need)
             x[: len(v)] = v
-        return out.reshape(-1)[: (n if end == steps else end * LANES) - t0 * LANES]
-
-
-def write_shard(uri: str, coder: Coder, docs: list, lengths: list[int], ids: np.ndarray) -> None:
-    """One file under its final name only when complete, so a retried task leaves no part of one."""
-    blocks, parts, at = [], [MAGIC + struct.pack("<I", 1)], 8
-    for lo in range(0, len(ids), LANES * STEPS):
-        part = ids[lo : lo + LANES * STEPS]
-        coded = coder.encode(part)
-        blocks.append([at, len(coded), lo, len(part), zlib.crc32(coded), zlib.crc32(part.astype("<u4").tobytes())])
-        parts.append(coded)
-        at += len(coded)
-    footer = zlib.compress(json.dumps({"blocks": blocks, "docs": docs, "lengths": lengths}).encode(), 6)
+        return out.reshape(-1)[:n]
+
+
+def write_shard(uri: str, coder: Coder, docs: list, lengths: list[int], ids: np.ndarray, steps: int = STEPS) -> None:
+    """One file; without its footer it isn't one, and no manifest names it before it is whole."""
+    segments, parts, at, first = [], [MAGIC + struct.pack("<I", 1)], 8, 0
+    for lo in range(0, len(ids), coder.lanes * steps):
+        for states, words, n in coder.encode(ids[lo : lo + coder.lanes * steps]):
+            segments.append([at, len(states), len(words), first, n, zlib.crc32(words, zlib.crc32(states)), zlib.crc32(ids[first : first + n].astype("<u4").tobytes())])
+            parts += [states, words]
+            at += len(states) + len(words)
+            first += n
+    footer = zlib.compress(json.dumps({"lanes": coder.lanes, "segments": segments, "docs": docs, "lengths": lengths}).encode(), 6)
     parts += [footer, struct.pack("<Q", len(footer)) + MAGIC]
     fs, path = C.open_fs(uri)
     fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    with fs.open_output_stream(f"{path}.part") as f:
+    with fs.open_output_stream(path) as f:
         for p in parts:
             f.write(p)
-    fs.move(f"{path}.part", path)
 
 
-def read_shard(uri: str, coder: Coder) -> Iterator[tuple[int | None, np.ndarray]]:
-    """(doc_id, ids) of each document of a shard, in order; raises on a failed checksum."""
+def read_shard(uri: str, freq: np.ndarray, lo: int = 0, hi: int | None = None) -> Iterator[tuple[int | None, int, np.ndarray]]:
+    """(doc_id, start, ids) of each document of a shard that starts at its ids lo to hi - 1, in order, decoding no more
+    segments than these documents touch; raises on a failed checksum."""
     fs, path = C.open_fs(uri)
     with fs.open_input_file(path) as f:
         f.seek(f.size() - 12)
@@ -325,24 +378,34 @@ def read_shard(uri: str, coder: Coder) -> Iterator[tuple[int | None, np.ndarray]
         (size,) = struct.unpack("<Q", tail[:8])
         f.seek(f.size() - 12 - size)
         foot = json.loads(zlib.decompress(f.read(size)))
-        pending, have, nth = [], 0, 0
-        for at, n_bytes, _, _, crc, ids_crc in foot["blocks"]:
-            f.seek(at)
-            coded = f.read(n_bytes)
-            if zlib.crc32(coded) != crc:
-                raise ValueError(f"{uri}: block at {at} is damaged")
-            ids = coder.decode(coded)
-            if zlib.crc32(ids.astype("<u4").tobytes()) != ids_crc:
-                raise ValueError(f"{uri}: ids of the block at {at} are damaged")
-            pending.append(ids)
-            have += len(ids)
-            if nth < len(foot["lengths"]) and have >= foot["lengths"][nth]:
-                ids, lo = np.concatenate(pending) if len(pending) > 1 else pending[0], 0
-                while nth < len(foot["lengths"]) and lo + foot["lengths"][nth] <= len(ids):
-                    yield foot["docs"][nth], ids[lo : lo + foot["lengths"][nth]]
-                    lo += foot["lengths"][nth]
-                    nth += 1
-                pending, have = [ids[lo:]], len(ids) - lo
+        coder = Coder(freq, foot["lanes"])
+        ends = np.cumsum(foot["lengths"])
+        starts = ends - foot["lengths"]
+        mine = range(*np.searchsorted(starts, [lo, starts[-1] + 1 if hi is None else hi]).tolist()) if len(ends) else range(0)
+        firsts = np.array([s[3] for s in foot["segments"]])
+        held, base, nth = np.zeros(0, np.uint32), None, 0
+        for k in mine:
+            if base is None:
+                nth = int(np.searchsorted(firsts, starts[k], "right")) - 1
+                base = int(firsts[nth])
+            parts, have = [held], base + len(held)
+            while have < ends[k]:
+                at, n_states, n_words, _, n, crc, ids_crc = foot["segments"][nth]
+                f.seek(at)
+                states, words = f.read(n_states), f.read(n_words)
+                if zlib.crc32(words, zlib.crc32(states)) != crc:
+                    raise ValueError(f"{uri}: the segment at {at} is damaged")
+                ids = coder.decode(states, words, n)
+                if zlib.crc32(ids.astype("<u4").tobytes()) != ids_crc:
+                    raise ValueError(f"{uri}: ids of the segment at {at} are damaged")
+                parts.append(ids)
+                have, nth = have + n, nth + 1
+            if len(parts) > 1:
+                held = np.concatenate(parts)
+            yield foot["docs"][k], int(starts[k]), held[starts[k] - base : ends[k] - base]
+            # What later documents don't need goes with the next segment.
+            if len(parts) > 1:
+                held, base = held[ends[k] - base :], int(ends[k])
 
 
 def read_table(uri: str) -> np.ndarray:
@@ -354,7 +417,7 @@ def read_table(uri: str) -> np.ndarray:
 # -- distributed writer and reader ------------------------------------------------------------
 
 
-def write_token_files(docs: DataFrame, out: str, tokenizer_path: str, end_id: int = 2) -> DataFrame:
+def write_token_files(docs: DataFrame, out: str, tokenizer_path: str, end_id: int = 2, lanes: int = LANES, steps: int = STEPS, check: int = CHECK_STEPS) -> DataFrame:
     """Encodes every text, writes shards under ``out`` in ascending doc_id order.
 
     Returns the manifest (part, shard, file, first_id, n_ids, n_docs), ordered by part and shard. One pass tokenizes; ids go to a table in the
@@ -386,13 +449,13 @@ def write_token_files(docs: DataFrame, out: str, tokenizer_path: str, end_id: in
         f.write(freq.astype("<u4").tobytes())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(freq)
+        coder = Coder(freq, lanes, check)
         part, shard, held, names, sizes, total = None, 0, [], [], [], 0
 
         def flush():
             nonlocal shard, held, names, sizes, total
-            uri = f"{out}/part-{part:06d}-{shard:06d}.twr"
-            write_shard(uri, coder, names, sizes, np.concatenate(held))
+            uri = f"{out}/part-{part:06d}-{shard:06d}-{uuid.uuid4().hex}.twr"
+            write_shard(uri, coder, names, sizes, np.concatenate(held), steps)
             row = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([uri]), pa.array([total], pa.int64()), pa.array([len(names)], pa.int64())], names=["part", "shard", "file", "n_ids", "n_docs"])
             shard, held, names, sizes, total = shard + 1, [], [], [], 0
             return row
@@ -432,21 +495,20 @@ def write_token_files(docs: DataFrame, out: str, tokenizer_path: str, end_id: in
     return files.join(base, "part").withColumn("first_id", F.col("base") + within).select("part", "shard", "file", "first_id", "n_ids", "n_docs")
 
 
-def read_token_files(manifest: DataFrame, table_uri: str) -> DataFrame:
-    """Per document: doc_id, start, n_tokens, ids_crc32, read from the files; a task reads whole shards."""
+def read_token_files(manifest: DataFrame, table_uri: str, read_ids: int = READ_IDS) -> DataFrame:
+    """Per document: doc_id, start, n_tokens, ids_crc32, read from the files in ranges of read_ids ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(read_table(table_uri))
+        freq = read_table(table_uri)
         for b in batches:
-            for uri, first in zip(b.column("file").to_pylist(), b.column("first_id").to_pylist()):
-                rows, at = [], first
-                for doc, ids in read_shard(uri, coder):
-                    rows.append((doc, at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-                    at += len(ids)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            for uri, first, lo in zip(*(b.column(c).to_pylist() for c in ("file", "first_id", "lo"))):
+                rows = [(doc, first + at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for doc, at, ids in read_shard(uri, freq, lo, lo + read_ids)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return manifest.select("file", "first_id").repartition(n).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    units = manifest.select("file", "first_id", F.explode(F.sequence(F.lit(0), F.col("n_ids") - 1, F.lit(read_ids))).alias("lo"))
+    return units.repartition(n).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_digest(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
@@ -465,5 +527,3 @@ def op1(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) ->
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return token_digest(docs, tokenizer_path or default_tokenizer(), 2)
 
-
-SCHEMA = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "start", "n_tokens", "ids_crc32")])
