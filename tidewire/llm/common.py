@@ -43,7 +43,16 @@ def write_table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Cut lineage: write to the shared folder and read back. Lost executors cost no more than a reread."""
     path = new_dir(df.sparkSession, name)
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete what write_table wrote, once all that was made of it has been written too."""
+    jvm = df.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df._written)
+    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -369,10 +369,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     keyed = _with_key(docs)
     found = C.write_table(keyed.withColumn("r", F.monotonically_increasing_id()).mapInArrow(_find, "unit int, key long, ctx long, t1 long, t2 long, doc_id long, r long, at int, lo int, hi int"), "anchors")
     # Tables written before a join leave both its sides to plain exchanges, which adaptive execution can split.
-    seen = (F.count("*").alias("n"), F.first("unit").alias("unit"), F.min("r").alias("r1"), F.max("r").alias("r2"))
-    twice = found.groupBy("key").agg(*seen, F.min("ctx").alias("c1"), F.max("ctx").alias("c2")).filter(REPEATED).select("key", (F.col("c1") != F.col("c2")).alias("mixed"))
+    twice = found.groupBy("key").agg(F.count("*").alias("n"), F.min("ctx").alias("c1"), F.max("ctx").alias("c2")).filter("n > 1").select("key", (F.col("c1") != F.col("c2")).alias("mixed"))
     twice = C.write_table(twice, "repeated-keys")
-    found = C.write_table(found.join(twice, "key"), "repeated-anchors")
+    every, found = found, C.write_table(found.join(twice, "key"), "repeated-anchors")
+    C.drop_table(every)
+    C.drop_table(twice)
+    seen = (F.count("*").alias("n"), F.first("unit").alias("unit"), F.min("r").alias("r1"), F.max("r").alias("r2"))
     counted = C.write_table(found.groupBy("key", "ctx").agg(*seen), "contexts")
     item = F.struct("unit", "key", "ctx", "at", "lo", "hi", "mixed")
     of_text = found.groupBy("t1", "t2").agg(F.collect_set(item).alias("items"), F.min("doc_id").alias("rep_id"))
