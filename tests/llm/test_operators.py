@@ -419,13 +419,38 @@ def brute_base(text):
 def test_line_rules(spark, edge, none, small):
     for df in (edge, small):
         want = collections.Counter((r["doc_id"], *brute_base(r["text"])) for r in df.collect())
-        got = line_rules.line_verdicts(df).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+        got = line_rules.clean(df).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
         assert collections.Counter(tuple(r) for r in got.collect()) == want
-    assert line_rules.line_verdicts(none).count() == 0
+    assert line_rules.clean(none).count() == 0
     good = "\n".join(f"Line{i} has{i * 3} own{i} words{i * 7} and{i} more{i * 5} of{i} them{i * 13}, up{i} to{i} here{i}." for i in range(12))
-    texts = {1: good, 2: good + "\nhome | about | help | more |", 3: "\n".join(f"home{i} | about{i} | help{i} | more{i} |" for i in range(20)), 4: "\n".join(f"SHOUT{i}!! MORE{i}!! AND{i}!! AGAIN{i}!!" for i in range(20)), 5: "\n".join(f"no end of line {i} in this text {i * 3} at all" for i in range(20)), 6: good + "\nAll rights reserved."}
-    got = line_rules.line_verdicts(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
-    assert {r["doc_id"]: (r["kept"], r["lost_chars"] > 0) for r in got.collect()} == {1: (True, False), 2: (True, True), 3: (False, True), 4: (False, True), 5: (False, True), 6: (True, True)}
+    texts = {1: good, 2: good + "\nhome | about | help | more |", 3: "\n".join(f"home{i} | about{i} | help{i} | more{i} |" for i in range(20)), 4: "\n".join(f"SHOUT{i}!! MORE{i}!! AND{i}!! AGAIN{i}!!" for i in range(20)), 5: "\n".join(f"no end of line {i} in this text {i * 3} at all" for i in range(20)), 6: "All rights reserved.\n" + good}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in line_rules.clean(docs).collect()}
+    assert {d: (r["kept"], r["lost_chars"] > 0) for d, r in got.items()} == {1: (True, False), 2: (True, True), 3: (False, True), 4: (False, True), 5: (False, True), 6: (True, True)}
+    assert {d: r["clean"] for d, r in got.items()} == {1: good, 2: good, 3: "", 4: "", 5: "", 6: good}
+    assert collections.Counter(map(tuple, line_rules.cleaned_documents(docs).collect())) == {(d, good): 1 for d in (1, 2, 6)}
+    clashing = edge.withColumnsRenamed({"score": "clean", "row": "kept", "hits": "N_words"})
+    out = line_rules.cleaned_documents(clashing)
+    assert out.columns == clashing.columns and out.count() <= clashing.count()
+    assert collections.Counter(tuple(r)[: len(edge.columns)] for r in line_rules.clean(clashing).collect()) == collections.Counter(map(tuple, edge.collect()))
+
+
+def test_failing_lines_are_cut_out():
+    """Whatever lines fail, the cleaned text is the others joined by newlines."""
+    rng = random.Random(4)
+    bad, fine = "home | about | help | more |", ["", " ", "Fine words stand here.", "Others, too.", "\t"]
+    texts = ["\n".join(rng.choice([bad, *fine]) for _ in range(rng.randrange(1, 9))) for _ in range(300)] + ["", "\n", bad, bad + "\n", "\n" + bad, "\n\n" + bad + "\n" + bad]
+    data, offsets = C.utf8(pa.array(texts, pa.large_string()))
+    _, stay = line_rules.judge(data, offsets)
+    at = np.concatenate([[0], np.cumsum(stay)])[offsets]
+    raw = data[stay].tobytes().decode()
+    for k, text in enumerate(texts):
+        seen, want = set(), []
+        for line in text.split("\n"):
+            if line != bad and not (line.strip() and line in seen):
+                want.append(line)
+            seen.add(line)
+        assert raw[at[k] : at[k + 1]] == "\n".join(want), repr(text)
 
 
 # -- 6 ----------------------------------------------------------------------------------------

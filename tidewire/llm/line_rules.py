@@ -8,11 +8,13 @@ A line with words fails if one of these holds:
   that equal the word before them are over half of its words, at least MIN_WORDS;
 - boilerplate: it holds one of PHRASES, or it equals an earlier line of the document.
 
-A document that fails no base rule is kept if the characters of words in failing lines are at most MAX_LOST of all.
+Failing lines are removed: the cleaned text is the other lines, those without words too, joined by newlines. A
+document that fails no base rule is kept if the characters of words in failing lines are at most MAX_LOST of all.
 Base rules: fewer than 50 words, or over half of the words in 3-word windows that occur twice or more.
 
-Defined cases: null and empty texts have 0 everywhere, fail the base rules and are not kept; repeated rows are judged
-each by itself; other columns are not read. Texts are processed whole, in arrays; a word or line is a 64-bit hash.
+Defined cases: null and empty texts have 0 everywhere and an empty cleaned text, fail the base rules and are not kept;
+repeated rows are judged each by itself; an empty table gives an empty one; a very long text is judged whole, alone in
+its chunk; added columns take names that no other column has. A word or line is a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common as C
 
@@ -39,11 +42,11 @@ _END[list(b".!?\"')]:;")] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _U = np.uint64
-SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, lost_chars long, kept boolean"
+SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, lost_chars long, kept boolean"
 
 
-def judge(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
-    """The columns of SCHEMA, but for doc_id, of a chunk of documents."""
+def judge(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The columns of SCHEMA of a chunk of documents; and for each byte whether the cleaned texts keep it."""
     n = len(offsets) - 1
     doc, starts, ends, h = C.word_hashes(data, offsets)
     lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
@@ -102,21 +105,48 @@ def judge(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     failed |= (bars >= 2) & (6 * bars > words)
     lost = count(of[failed], line_chars[failed])
     base = (n_words < MIN_DOC_WORDS) | (100 * n_repeat > 100 * MAX_REPEATED * n_words)
-    return {"n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols, "n_dup_lines": n_dup, "n_repeat_words": n_repeat, "base_failed": base, "lost_chars": lost, "kept": ~base & (lost <= MAX_LOST * word_chars)}
-
-
-def line_verdicts(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id and the columns that ``judge`` gives."""
+    stay = np.ones(len(data), bool)
+    if failed.any():
+        # A failing line goes with its newline; if it is its document's last, so does the newline of the last that stays.
+        a, b, own = begin[failed], stop[failed], of[failed]
+        end = offsets[own + 1]
+        change = np.bincount(a, minlength=len(data) + 1) - np.bincount(np.minimum(b + 1, end), minlength=len(data) + 1)
+        stay = np.cumsum(change)[:-1] == 0
+        for k in np.flatnonzero(b == end).tolist():
+            while k and own[k - 1] == own[k] and b[k - 1] + 1 == a[k]:
+                k -= 1
+            if a[k] > offsets[own[k]]:
+                stay[a[k] - 1] = False
+    return {"n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols, "n_dup_lines": n_dup, "n_repeat_words": n_repeat, "base_failed": base, "lost_chars": lost, "kept": ~base & (lost <= MAX_LOST * word_chars)}, stay
+
+
+def clean(docs: DataFrame) -> DataFrame:
+    """The columns of docs, the columns of SCHEMA, and ``clean``, the text without its failing lines."""
+    extra = [*(x.split()[0] for x in SCHEMA.split(", ")), "clean"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi, data, offsets in C.chunks(b.column(1)):
-                got = judge(data, offsets)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *map(pa.array, got.values())], names=["doc_id", *got])
+            for lo, hi, data, offsets in C.chunks(b.column(0)):
+                got, stay = judge(data, offsets)
+                ends = np.concatenate([[0], np.cumsum(stay)])[offsets].astype("<i4")
+                text = pa.Array.from_buffers(pa.string(), hi - lo, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data[stay].tobytes())])
+                yield pa.RecordBatch.from_arrays([b.column(1).slice(lo, hi - lo), *map(pa.array, got.values()), text], names=["row", *extra])
 
     C.small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    inner = docs.select(F.col("text").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row"))
+    kinds = T.StructType([T.StructField("row", inner.schema["row"].dataType), *T.StructType.fromDDL(SCHEMA), T.StructField("clean", T.StringType())])
+    taken = {c.lower() for c in docs.columns}
+    names = [n if n not in taken else C.free_name(docs, n) for n in extra]
+    return inner.mapInArrow(run, kinds).select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)], *[F.col(n).alias(x) for n, x in zip(extra, names)])
+
+
+def cleaned_documents(docs: DataFrame) -> DataFrame:
+    """The documents that are kept, with their own columns, ``text`` without its failing lines."""
+    out = clean(docs)
+    kept, text = out.columns[-2:]
+    return out.filter(F.col(f"`{kept}`")).select(*[F.col(f"`{text}`").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_verdicts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    out = clean(spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    return out.withColumn("clean_sha256", F.sha2(F.encode("clean", "UTF-8"), 256)).drop("text", "clean")

@@ -28,11 +28,11 @@ _WORD = r"[^\x20\x09-\x0D]+"
 
 LINE_RULES = rf"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS t FROM documents),
-w AS (SELECT *, regexp_extract_all(t, '{_WORD}') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS lw FROM d),
+w AS (SELECT *, regexp_extract_all(t, '{_WORD}') AS w, string_split(t, chr(10)) AS lines FROM d),
 g AS (SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) > 2)),
 r AS (SELECT rid, count(DISTINCT p) AS n_repeat_words FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY rid, g) AS c FROM g) WHERE c > 1) GROUP BY rid),
-l AS (SELECT rid, o, lw[o] AS l FROM (SELECT rid, lw, unnest(range(1, len(lw) + 1)) AS o FROM w)),
-m AS (SELECT *, regexp_extract_all(l, '{_WORD}') AS v, row_number() OVER (PARTITION BY rid, l ORDER BY o) > 1 AS again FROM l),
+l AS (SELECT rid, o, lines[o] AS l FROM (SELECT rid, lines, unnest(range(1, len(lines) + 1)) AS o FROM w)),
+m AS (SELECT *, regexp_extract_all(l, '{_WORD}') AS v, row_number() OVER (PARTITION BY rid, l ORDER BY o) > 1 AS again FROM l WHERE regexp_matches(l, '{_WORD}')),
 c AS (
   SELECT *, len(v) AS n, length(array_to_string(v, '')) AS chars,
     length(regexp_replace(l, '[^#*$%&|<>]', '', 'g')) AS symbols,
@@ -42,16 +42,18 @@ c AS (
     len(list_filter(range(2, len(v) + 1), lambda i: v[i] = v[i - 1])) AS echoes,
     regexp_matches(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{"|".join(line_rules.PHRASES)}') AS phrase
   FROM m),
+x AS (SELECT rid, o, chars, phrase OR again OR (n >= 4 AND (closed = 0 OR 2 * echoes > n)) OR 10 * symbols > chars OR 2 * loud > n OR (bars >= 2 AND 6 * bars > n) AS fails FROM c),
 f AS (
-  SELECT rid, sum(CASE WHEN phrase OR again OR (n >= 4 AND (closed = 0 OR 2 * echoes > n)) OR 10 * symbols > chars OR 2 * loud > n OR (bars >= 2 AND 6 * bars > n) THEN chars ELSE 0 END) AS lost
-  FROM c GROUP BY rid),
+  SELECT l.rid, sum(CASE WHEN fails THEN chars ELSE 0 END) AS lost, sum(CASE WHEN again THEN 1 ELSE 0 END) AS n_dup_lines,
+    coalesce(string_agg(l.l, chr(10) ORDER BY l.o) FILTER (WHERE NOT coalesce(fails, FALSE)), '') AS clean
+  FROM l LEFT JOIN x ON x.rid = l.rid AND x.o = l.o LEFT JOIN m ON m.rid = l.rid AND m.o = l.o GROUP BY l.rid),
 b AS (
   SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
-    len(lw) - len(list_distinct(lw)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(lost, 0) AS lost
-  FROM w LEFT JOIN r USING (rid) LEFT JOIN f USING (rid))
+    n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, lost, sha256(clean) AS clean_sha256
+  FROM w JOIN f USING (rid) LEFT JOIN r USING (rid))
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
   CAST(n_repeat_words AS BIGINT) AS n_repeat_words, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed, CAST(lost AS BIGINT) AS lost_chars,
-  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 2 * lost <= word_chars AS kept
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 2 * lost <= word_chars AS kept, clean_sha256
 FROM b
 """
 
