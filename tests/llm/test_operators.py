@@ -617,10 +617,14 @@ def test_warc(spark, monkeypatch, limits):
         k = (h or "").encode()
         want[p, len(k), base64.b32encode(hashlib.sha1(k).digest()).decode(), "response" if best[k] == p else "revisit", None if best[k] == p else best[k]] += 1
     assert collections.Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got) == want
-    parts = collections.defaultdict(list)
-    for r in got:
-        parts[r["part"]].append((r["url_key"], r["time"]))
-    assert [x for p in sorted(parts) for x in sorted(parts[p])] == sorted(x for p in parts.values() for x in p)
+    got.sort(key=lambda r: r["rank"])
+    assert [r["rank"] for r in got] == list(range(len(rows)))
+    assert [r["part"] for r in got] == sorted(r["part"] for r in got)
+    keys = [(r["url_key"], r["time"], r["page_id"] is not None, r["page_id"] or 0) for r in got]
+    assert keys == sorted(keys) and sorted(k[0] for k in keys) == sorted(warc.url_key(warc._one_line(u or "")) for _, u, _ in rows)
+    clashing = spark.createDataFrame([(*r, "x", 1, "y", 2) for r in rows], "page_id long, url string, html string, body string, rank int, file string, sha int").repartition(6)
+    cols = ["page_id", "payload_bytes", "record_type", "refers_to", "url_key", "rank"]
+    assert sorted(map(str, warc.archive_pages(clashing).select(cols).collect())) == sorted(str(r) for r in spark.createDataFrame(got).select(cols).collect())
     assert warc.archive_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 

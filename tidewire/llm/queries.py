@@ -71,15 +71,19 @@ l AS (SELECT p.a, count(*) AS n_links, count(DISTINCT CASE WHEN y.t <> z.t THEN
 SELECT k.a AS doc_id, class_id, coalesce(n_links, 0) AS n_links, coalesce(n_texts, 0) AS n_texts, coalesce(n_copies, 0) AS n_copies FROM k LEFT JOIN l ON l.a = k.a
 """
 
-#: Base 32 of 40 hexadecimal digits: five bits at a time out of three digits.
-WARC = """
+#: Base 32 of 40 hexadecimal digits: five bits at a time out of three digits. The index is in order of URL key and time.
+WARC = r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS s FROM pages),
 q AS (SELECT *, max(page_id) OVER (PARTITION BY s) AS best FROM p),
+a AS (SELECT page_id, regexp_extract(regexp_replace(coalesce(url, ''), '^(?s:.*?)://', ''), '^[^#]*') AS rest FROM pages),
+h AS (SELECT page_id, regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), '^.*@', '') AS host, substr(rest, 1 + length(regexp_extract(rest, '^[^/?]*'))) AS tail FROM a),
+u AS (SELECT page_id, array_to_string(list_reverse(string_split(regexp_replace(regexp_extract(host, '^[^:]*'), '^www\.', ''), '.')), ',') || CASE WHEN host LIKE '%:_%' THEN regexp_extract(host, ':.*$') ELSE '' END || ')' || CASE WHEN tail = '' THEN '/' ELSE tail END AS url_key FROM h),
+i AS (SELECT page_id, row_number() OVER (ORDER BY url_key, page_id) - 1 AS index_rank FROM u),
 v AS (SELECT *, list_transform(range(0, 32), lambda i: list_transform(range(0, 3), lambda j: strpos('0123456789abcdef', substr(s || '00', 1 + (i * 5) // 4 + j, 1)) - 1)) AS n FROM q)
 SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
   array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (((n[i + 1][1] * 256 + n[i + 1][2] * 16 + n[i + 1][3]) // CAST(pow(2, 7 - (i * 5) % 4) AS BIGINT)) % 32) AS BIGINT), 1)), '') AS payload_digest,
-  CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id = best THEN NULL ELSE best END AS refers_to
-FROM v
+  CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id = best THEN NULL ELSE best END AS refers_to, index_rank
+FROM v JOIN i USING (page_id)
 """
 
 

@@ -4,12 +4,14 @@ Each writer task makes one archive per ARCHIVE_BYTES of records, each record its
 occurs more than once is stored once, by the row with the largest page_id; the others are revisit records that name
 it. Readers parse whole archives record by record and check lengths and digests. Each archive gives a run of captures
 sorted by URL key and timestamp. The index is merged from these runs: sampled keys cut the key space into ranges, and
-a task merges one range of all runs with a loser tree, FAN_IN runs at a time, so the parts read in order are all
-captures in global order.
+a task merges one range of all runs with a loser tree, FAN_IN runs at a time, and writes it as one file of the index.
+The files in order of their parts are all captures in global order; a capture's rank is its place in them.
 
 Defined cases: a null html is an empty payload, and equal payloads of length 0 are revisits too; a null URL is written
 as an empty one; rows with equal page_id and payload are all responses if they hold the largest page_id of the payload;
-a null page_id comes before all others. An empty table gives no archive and no rows.
+a null page_id comes before all others. An empty table gives no archive and no rows. A payload of any length is one
+record; other columns than page_id, url and html are never read, whatever their names. Captures that are equal in URL
+key, time and page_id are ranked by their place in the archives.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import datetime
 import hashlib
 import json
 import struct
+import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from itertools import islice
@@ -241,10 +244,7 @@ def write_archives(pages: DataFrame, out: str) -> DataFrame:
     winners = C.write_table(winners, "winners")  # so that a hot digest's rows can be split in the join
     joined = keyed.join(winners, F.col("sha") == F.col("w_sha"), "left").select("page_id", "url", "body", "sha", F.col("w_sha").isNotNull().alias("shared"), "best")
 
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
-
         f, uri, size, n = None, None, 0, 0
         done = []
         for b in batches:
@@ -297,7 +297,7 @@ def read_archives(archives: DataFrame, out: str) -> DataFrame:
 
 
 def merge_index(runs: DataFrame, out: str, ranges: int | None = None) -> DataFrame:
-    """All captures of the runs, as columns of CAPTURE and ``part``: ordered within a part, and parts in order of their number.
+    """Writes the merged index of all captures of the runs, a file for each part; returns (part, file, captures).
 
     The key space is cut at sampled captures, not just URL keys, so one URL's many captures can be in several parts.
     A task merges one range of at most FAN_IN runs; while there are more, their merged slices are runs of the next level.
@@ -322,8 +322,6 @@ def merge_index(runs: DataFrame, out: str, ranges: int | None = None) -> DataFra
     bound = lambda x: None if x is None else tuple(json.loads(x))
 
     def to_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
-
         for b in batches:
             for part, lo, hi, files in zip(*(b.column(c).to_pylist() for c in ("part", "lo", "hi", "files"))):
                 to = f"{out}/{uuid.uuid4().hex}.run"
@@ -338,25 +336,57 @@ def merge_index(runs: DataFrame, out: str, ranges: int | None = None) -> DataFra
         work = per.select("part", "lo", "hi", F.explode(F.transform(starts, lambda i: F.slice("all", i, FAN_IN))).alias("files"))
         lists = -(-lists // FAN_IN)
 
-    def to_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-        cols = ["url_key", "time", "page_id", "file", "offset", "record_type", "payload_digest", "payload_bytes", "refers_to"]
+    def to_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part, lo, hi, files in zip(*(b.column(c).to_pylist() for c in ("part", "lo", "hi", "files"))):
-                it = merged(files, bound(lo), bound(hi))
-                while held := list(islice(it, 4096)):
-                    yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(zip(*held), kinds)), pa.array([part] * len(held), pa.int32())], names=[*cols, "part"])
+                # Another name for each attempt: the table says which file counts.
+                to, n = f"{out}/index-{part:06d}-{uuid.uuid4().hex}.run", 0
+
+                def counted() -> Iterator[tuple]:
+                    nonlocal n
+                    for c in merged(files, bound(lo), bound(hi)):  # noqa: B023
+                        n += 1
+                        yield c
+
+                write_run(to, counted())
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([to]), pa.array([n], pa.int64())], names=["part", "file", "captures"])
+
+    return C.write_table(work.repartition(ranges).mapInArrow(to_files, "part int, file string, captures long"), "index")
 
-    return work.repartition(ranges, "part").mapInArrow(to_rows, CAPTURE + ", part int")
+
+def read_index(index: DataFrame) -> DataFrame:
+    """All captures of an index, as columns of CAPTURE, ``part`` and ``rank``, the place in the global order from 0."""
+    spark = index.sparkSession
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+        cols = ["url_key", "time", "page_id", "file", "offset", "record_type", "payload_digest", "payload_bytes", "refers_to", "part", "rank"]
+        for b in batches:
+            for part, file, n, rank in zip(*(b.column(c).to_pylist() for c in ("part", "file", "captures", "base"))):
+                it, end = read_run(file, None, None), rank + n
+                while held := list(islice(it, 4096)):
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(zip(*held), kinds)), pa.array([part] * len(held), pa.int32()), pa.array(range(rank, rank + len(held)), pa.int64())], names=cols)
+                    rank += len(held)
+                if rank != end:
+                    raise ValueError(f"{file}: its captures aren't those written")
+
+    # A row for each part, of which there are as many as shuffle partitions.
+    base, at = [], 0
+    for r in index.orderBy("part").collect():
+        base.append((r["part"], at))
+        at += r["captures"]
+    parts = index.join(spark.createDataFrame(base or [(-1, 0)], "part int, base long"), "part")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return parts.repartition(n).mapInArrow(run, CAPTURE + ", part int, rank long")
 
 
 def archive_pages(pages: DataFrame) -> DataFrame:
-    """Writes the pages to archives in the shared folder, reads them back, and returns the merged capture index."""
+    """Writes the pages to archives in the shared folder, reads them back, merges and reads the capture index."""
     out = C.new_dir(pages.sparkSession, "warc")
-    return merge_index(read_archives(write_archives(pages, out), out), out)
+    return read_index(merge_index(read_archives(write_archives(pages, out), out), out))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.col("rank").alias("index_rank"))
 
