@@ -305,6 +305,45 @@ def test_jaccard_join(spark, edge, none, small, monkeypatch, block):
     assert jaccard_join.join_near(none).count() == 0
 
 
+def test_large_components_are_cut_by_bytes(spark, edge, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_BYTES", 3000)
+    got = collections.Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard_join.join_near(edge).collect())
+    assert got == brute_classes([(r["doc_id"], r["text"]) for r in edge.collect()])
+
+
+def test_shuffle_is_linear_in_one_large_component(spark, monkeypatch, tmp_path):
+    """Blocks of one component hold each text once, however many blocks it is compared with."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 20)
+    rng, moved = random.Random(6), []
+    base = [f"w{rng.randrange(500)}" for _ in range(100)]
+    write = C.write_table
+
+    def spy(df, name, *a):
+        out = write(df, name, *a)
+        if name in ("candidate-texts", "blocks", "block-pairs"):
+            moved.append((name, out.count(), out.agg(F.sum(F.length("text"))).first()[0] if "text" in out.columns else 0))
+        return out
+
+    monkeypatch.setattr(C, "write_table", spy)
+    for n in (100, 200):
+        rows = [(i, " ".join([*base[:k], f"x{i}", *base[k + 1 :]])) for i, k in enumerate(rng.choices(range(100), k=n))]
+        got = collections.Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard_join.join_near(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+        assert got == brute_classes(rows)
+    texts = [x for x in moved if x[0] == "candidate-texts"]
+    assert [x[1] for x in texts] == [100, 200] and texts[1][2] < 2.1 * texts[0][2]
+
+
+def test_verified_is_exact_for_few_and_for_many_pairs():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 60, 200).astype(np.uint64)
+    sets = [np.unique(np.where(rng.random(200) < rng.random() * 0.2, rng.integers(0, 1 << 60, 200), base).astype(np.uint64)[: rng.integers(0, 200)]) for _ in range(60)]
+    a, b = np.triu_indices(60, 1)
+    want = np.array([len(c := np.intersect1d(sets[i], sets[j])) * 5 >= 4 * len(np.union1d(sets[i], sets[j])) and len(c) > 0 for i, j in zip(a, b)])
+    assert len(a) > 8 * len(sets) and (jaccard_join.verified(sets, a, b) == want).all() and want.any()
+    for part in np.array_split(np.arange(len(a)), 20):
+        assert (jaccard_join.verified(sets, a[part], b[part]) == want[part]).all()
+
+
 def test_drop_near(spark, edge, none, small):
     rows = clashes(spark, jaccard_join.drop_near, edge, none)
     assert sorted(r[0] for r in rows if r[0] is not None) == [1, 2, 3, 4, 7, 9, 11, 12, 13]

@@ -4,18 +4,23 @@ Exact copies fall together by content key. MinHash bands (BANDS of ROWS values)
 bucket graph's components are small sets outside of which no candidate exists. Inside a component, pairs are compared
 on MinHash values a few at a time; after each step a pair goes as soon as the posterior probability (uniform prior,
 Beta posterior) that its similarity reaches the threshold falls below TOLERANCE. What is left is verified exactly on
-whole shingle sets. A component of more than BLOCK texts is compared as pairs of blocks in separate tasks; results
-are link counts and a spanning forest per task, never pairs. With 0.8 and BANDS x ROWS = 25 x 5 a pair at the
+whole shingle sets. A component of more than BLOCK texts or BLOCK_BYTES bytes is cut into blocks: each is written once to
+the shared folder, and tasks that compare two blocks read their signatures first (a SIGNED values a text), then the
+texts of surviving pairs. So what is shuffled grows with the texts, not with their square. Results are link counts
+and a spanning forest per task, never pairs. With 0.8 and BANDS x ROWS = 25 x 5 a pair at the
 threshold is missed with probability (1 - 0.8**5)**25 < 5e-5, one at 0.9 with less than 1e-9.
 
 Words are runs of characters other than ASCII white space, case kept. Texts of 1 to 4 words have one shingle, the
 whole. Defined cases: null, empty and white-space texts match nothing, not even each other; equal rows are copies of
-each other; a null doc_id is a document like others and never gives a class its id unless all its ids are null.
+each other; a null doc_id is a document like others and never gives a class its id unless all its ids are null; of ties
+the least doc_id, then the least content key, stands for a class; an empty table gives an empty one; a very long text
+is read whole, alone in its chunk; added columns take names that no other column has.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,9 +35,8 @@ K_WORDS, THRESHOLD = 5, (4, 5)
 BANDS, ROWS = 25, 5
 TOLERANCE = 1e-7
 STEPS = (8, 16, 32)
-BLOCK = 1024
-#: Marks of a component's only block, and of a block compared with itself; else rows have their block's number.
-ALONE, SAME = -1, -2
+BLOCK, BLOCK_BYTES = 1024, 16 << 20
+SIGNED = STEPS[-1]
 _U = np.uint64
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
@@ -162,7 +166,7 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, th (content key), has_words, bands of every document, as a written table."""
+    """doc_id, th (content key), has_words, bytes, bands of every document, as a written table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -172,11 +176,11 @@ def signatures(docs: DataFrame) -> DataFrame:
                 keys = band_keys(minhash(d, s, hi - lo))
                 some = np.bincount(doc, minlength=hi - lo) > 0
                 keys = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1) * BANDS, pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("th").slice(lo, hi - lo), pa.array(some), keys], names=["doc_id", "th", "has_words", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("th").slice(lo, hi - lo), pa.array(some), pa.array(np.diff(offsets)), keys], names=["doc_id", "th", "has_words", "bytes", "bands"])
 
     C.small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), C.text_key("text").alias("th"), F.col("text").cast("string").alias("text"))
-    return C.write_table(rows.mapInArrow(run, "doc_id long, th binary, has_words boolean, bands array<long>"), "signatures")
+    return C.write_table(rows.mapInArrow(run, "doc_id long, th binary, has_words boolean, bytes long, bands array<long>"), "signatures")
 
 
 def _short(th):
@@ -184,50 +188,105 @@ def _short(th):
     return F.conv(F.hex(F.substring(th, 1, 7)), 16, 10).cast("long")
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (g, side, th, copies, text), sorted by g: counts and forest of each group's verified links."""
-    names = ["th", "root", "links", "text_links", "many"]
-
-    def one(rows: list) -> pa.RecordBatch | None:
-        seen: dict[tuple, tuple] = {}
-        for r in rows:
-            seen.setdefault((r[1], r[2]), r)
-        rows = sorted(seen.values(), key=lambda r: (r[1], r[2]))
-        side = np.array([r[1] for r in rows])
-        many = bool(side[0] != ALONE)
-        cross = None if side[0] in (ALONE, SAME) else int((side == side[0]).sum())
-        if cross == len(rows):  # two blocks, of which one has no texts
-            return None
-        copies = np.array([r[3] for r in rows], np.int64)
-        sets, sigs = [], []
-        for _, _, data, offsets in C.chunks(pa.array([r[4] or "" for r in rows], pa.large_string())):
-            doc, _, _, h = C.word_hashes(data, offsets)
-            d, s = C.shingles(doc, h, K_WORDS, len(offsets) - 1)
-            sigs.append(minhash(d, s, len(offsets) - 1))
-            cut = np.searchsorted(d, np.arange(len(offsets)))
-            sets += [np.unique(s[cut[i] : cut[i + 1]]) for i in range(len(offsets) - 1)]
-        a, b = survivors(np.concatenate(sigs), cross)
-        ok = verified(sets, a, b)
-        a, b = a[ok], b[ok]
-        if not len(a):
-            return None
-        n = len(rows)
-        links = np.bincount(a, copies[b], n) + np.bincount(b, copies[a], n)
-        texts = np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
-        root, on = _roots(n, a, b), np.flatnonzero(texts)
-        return pa.RecordBatch.from_arrays([pa.array([rows[i][2] for i in on], pa.binary()), pa.array([rows[root[i]][2] for i in on], pa.binary()), pa.array(np.rint(links[on]).astype(np.int64)), pa.array(texts[on].astype(np.int64)), pa.array(np.full(len(on), many))], names=names)
-
-    held, group = [], None
+#: What is found of a text in a group: its class there, linked documents and texts, and whether it has other groups.
+LINKS = "th binary, root binary, links long, text_links long, many boolean"
+
+
+def _sets(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+    """(shingle sets, signatures) of whole texts."""
+    sets, sigs = [], [np.zeros((0, BANDS * ROWS), np.uint32)]
+    for _, _, data, offsets in C.chunks(pa.array(texts, pa.large_string())):
+        doc, _, _, h = C.word_hashes(data, offsets)
+        d, s = C.shingles(doc, h, K_WORDS, len(offsets) - 1)
+        sigs.append(minhash(d, s, len(offsets) - 1))
+        cut = np.searchsorted(d, np.arange(len(offsets)))
+        sets += [np.unique(s[cut[i] : cut[i + 1]]) for i in range(len(offsets) - 1)]
+    return sets, np.concatenate(sigs)
+
+
+def _linked(th: list[bytes], copies: np.ndarray, a: np.ndarray, b: np.ndarray, many: bool) -> pa.RecordBatch:
+    """Counts and forest of verified links."""
+    n = len(th)
+    links = np.bincount(a, copies[b], n) + np.bincount(b, copies[a], n)
+    texts = np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
+    root, on = _roots(n, a, b), np.flatnonzero(texts)
+    columns = [pa.array([th[i] for i in on], pa.binary()), pa.array([th[root[i]] for i in on], pa.binary()), pa.array(np.rint(links[on]).astype(np.int64)), pa.array(texts[on].astype(np.int64)), pa.array(np.full(len(on), many))]
+    return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in LINKS.split(", ")])
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows of each group, sorted by it, without their first column, once by content key and in its order."""
+    held: dict[bytes, tuple] = {}
+    group = None
     for b in batches:
-        for r in zip(*(b.column(i).to_pylist() for i in range(5))):
+        for r in zip(*(b.column(i).to_pylist() for i in range(b.num_columns))):
             if r[0] != group and held:
-                if (out := one(held)) is not None:
-                    yield out
-                held = []
+                yield sorted(held.values())
+                held = {}
             group = r[0]
-            held.append(r)
-    if held and (out := one(held)) is not None:
-        yield out
+            held.setdefault(r[1], r[1:])
+    if held:
+        yield sorted(held.values())
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (g, th, copies, text), sorted by g, whole components: their LINKS."""
+    for rows in _groups(batches):
+        sets, sig = _sets([r[2] or "" for r in rows])
+        a, b = survivors(sig)
+        ok = verified(sets, a, b)
+        if ok.any():
+            yield _linked([r[0] for r in rows], np.array([r[1] for r in rows], np.int64), a[ok], b[ok], False)
+
+
+def _write_blocks(out: str):
+    """Rows (g, th, copies, text, c, block), sorted by g, a block each: writes its signatures and its texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            th, copies, texts, (c, *_), (block, *_) = zip(*rows)
+            name = f"{out}/{uuid.uuid4().hex}"  # another for each attempt: the table says which counts
+            fs, path = C.open_fs(name)
+            fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            sig = np.ascontiguousarray(_sets([t or "" for t in texts])[1][:, :SIGNED])
+            tables = {"sig": pa.table({"th": pa.array(th, pa.binary()), "copies": pa.array(copies, pa.int64()), "sig": pa.array([s.tobytes() for s in sig], pa.binary())}), "text": pa.table({"text": pa.array([t or "" for t in texts], pa.large_string())})}
+            for kind, table in tables.items():
+                with fs.open_output_stream(f"{path}.{kind}", compression=None) as f, pa.ipc.new_stream(f, table.schema) as w:
+                    w.write_table(table, 64)
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()), pa.array([block], pa.int32()), pa.array([name])], names=["c", "block", "file"])
+
+    return run
+
+
+def _read(name: str, kind: str) -> Iterator[pa.RecordBatch]:
+    fs, path = C.open_fs(name)
+    with fs.open_input_stream(f"{path}.{kind}", compression=None) as f, pa.ipc.open_stream(f) as r:
+        yield from r
+
+
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (left, right), files of two blocks or of one twice: LINKS of the pairs of a text of either."""
+    for batch in batches:
+        for files in zip(*(batch.column(i).to_pylist() for i in range(2))):
+            files = files[: 1 + (files[0] != files[1])]
+            heads = [pa.Table.from_batches(_read(f, "sig")) for f in files]
+            th, copies, sig = (sum((h.column(c).to_pylist() for h in heads), []) for c in ("th", "copies", "sig"))
+            sig = np.frombuffer(b"".join(sig), np.uint32).reshape(len(th), SIGNED)
+            a, b = survivors(sig, heads[0].num_rows if len(files) > 1 else None)
+            if not len(a):
+                continue
+            # Only texts of surviving pairs are turned to sets.
+            wanted, sets, base = np.zeros(len(th), bool), [np.zeros(0, _U)] * len(th), 0
+            wanted[a] = wanted[b] = True
+            for f in files:
+                for part in _read(f, "text"):
+                    here = np.flatnonzero(wanted[base : base + part.num_rows])
+                    for k, own in zip(here.tolist(), _sets(part.column("text").take(pa.array(here)).to_pylist())[0] if len(here) else ()):
+                        sets[base + k] = own
+                    base += part.num_rows
+            ok = verified(sets, a, b)
+            if ok.any():
+                yield _linked(th, np.array(copies, np.int64), a[ok], b[ok], True)
 
 
 def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -235,24 +294,33 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     doc_id), copies, root (th of its class), links (documents of other texts linked to it), text_links."""
     spark = docs.sparkSession
     sig = signatures(docs)
-    texts = C.write_table(sig.filter("has_words").groupBy("th").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "texts")
+    texts = C.write_table(sig.filter("has_words").groupBy("th").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("bytes").alias("bytes")), "texts")
     keys = sig.filter("has_words").select(_short("th").alias("v"), F.explode("bands").alias("b"))
     roots = keys.groupBy("b").agg(F.min("v").alias("u"), F.max("v").alias("w")).filter("u < w").select("b", "u")
     roots = C.write_table(roots, "buckets")  # written tables leave the joins to exchanges that can be split
     comp = C.write_table(components(keys.join(roots, "b").select("v", "u")), "candidates")
-    sizes = C.write_table(comp.groupBy("c").agg(F.count("*").alias("n")), "sizes")
-    spread = texts.withColumn("v", _short("th")).join(comp, "v").join(sizes, "c")
-    spread = spread.withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("mine", F.pmod(F.xxhash64("th"), F.col("k")).cast("int"))
-    wanted = spread.select(F.col("th").alias("w_th"), "rep", "copies", "c", "k", "mine")
+    spread = C.write_table(texts.withColumn("v", _short("th")).join(comp, "v").select("th", "rep", "copies", "bytes", "c"), "members")
+    sizes = spread.groupBy("c").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    sizes = C.write_table(sizes.select("c", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int").alias("k")), "sizes")
+    wanted = spread.join(sizes, "c").select(F.col("th").alias("w_th"), "rep", "copies", "c", "k", F.pmod(F.xxhash64("th"), F.col("k")).cast("int").alias("block"))
     body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("d_th", C.text_key("text"))
-    body = body.join(wanted, (F.col("d_th") == F.col("w_th")) & F.col("doc_id").eqNullSafe(F.col("rep")))
-    others = F.when(F.col("k") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("k") - 1))
-    pairs = body.select("c", "k", "mine", "w_th", "copies", "text", F.explode(others).alias("other"))
-    group = F.struct("c", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    pairs = pairs.select(F.xxhash64(group).alias("g"), F.when(F.col("k") == 1, ALONE).when(F.col("mine") == F.col("other"), SAME).otherwise(F.col("mine")).alias("side"), F.col("w_th").alias("th"), "copies", "text", "c")
+    body = body.join(wanted, (F.col("d_th") == F.col("w_th")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("c", "k", "block", F.col("w_th").alias("th"), "copies", "text")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     C.small_batches(spark)
-    found = pairs.repartition(n, "g").sortWithinPartitions("g").select("g", "side", "th", "copies", "text").mapInArrow(_compare, "th binary, root binary, links long, text_links long, many boolean")
+    # Whole components and blocks of larger ones go to their tasks at once.
+    body = body.withColumn("g", F.when(F.col("k") == 1, F.col("c")).otherwise(F.xxhash64("c", "block")))
+    if sizes.filter("k > 1").isEmpty():
+        found = body.repartition(n, "g").sortWithinPartitions("g").select("g", "th", "copies", "text").mapInArrow(_compare, LINKS)
+    else:
+        body = C.write_table(body, "candidate-texts")
+        found = body.filter("k = 1").repartition(n, "g").sortWithinPartitions("g").select("g", "th", "copies", "text").mapInArrow(_compare, LINKS)
+        out = C.new_dir(spark, "blocks")
+        blocks = body.filter("k > 1").repartition(n, "c", "block").sortWithinPartitions("g").select("g", "th", "copies", "text", "c", "block").mapInArrow(_write_blocks(out), "c long, block int, file string")
+        blocks = C.write_table(blocks, "blocks")
+        # Each pair of blocks of a component is a row of two names; what they hold isn't moved.
+        pairs = blocks.alias("x").join(blocks.alias("y"), (F.col("x.c") == F.col("y.c")) & (F.col("x.block") <= F.col("y.block")))
+        pairs = C.write_table(pairs.select(F.col("x.file").alias("left"), F.col("y.file").alias("right")), "block-pairs")
+        found = found.unionByName(pairs.repartition(n).mapInArrow(_compare_blocks, LINKS))
     found = C.write_table(found, "links")
     counts = found.groupBy("th").agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"), F.min("root").alias("one_root"), F.max("many").alias("many"))
     split = found.filter("many").select(F.col("th").alias("v"), F.col("root").alias("u"))
