@@ -689,13 +689,49 @@ def test_language_id(spark, edge, none):
     assert sum(r["lang"] == r["lang_pred"] for r in got) / len(got) >= 0.95
     out = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in lang_id.predict(edge, model).collect()}
     assert out[1] == out[2] == out[3] == ("und", 0.0) and all(0 <= s <= 1 for _, s in out.values())
-    marks = spark.createDataFrame([(1, "123 !? 456"), (2, "\U0001f600"), (3, "\U00010400 x")], "doc_id long, text string")
-    assert {r["doc_id"]: r["lang_pred"] == "und" for r in lang_id.predict(marks, model).collect()} == {1: True, 2: True, 3: False}
+    marks = spark.createDataFrame([(1, "123 !? 456"), (2, "\U0001f600"), (3, "\U00010400 x"), (4, "\u0301 \u0301"), (5, "e\u0301"), (6, "\U000e0100")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] == "und" for r in lang_id.predict(marks, model).collect()} == {1: True, 2: True, 3: False, 4: True, 5: False, 6: True}
     blank = lang_id.train(none)
     assert {r["lang_pred"] for r in lang_id.predict(edge, blank).collect()} == {"und"}
     one = lang_id.train(docs.filter("lang = 'de'"))
     assert {r["lang_pred"] for r in lang_id.predict(docs, one).collect()} <= {"de", "und"}
     lang_id.train(edge)
+    clashing = edge.withColumnsRenamed({"score": "h", "row": "n", "hits": "salt", "part": "idx"})
+    assert (lang_id.train(clashing).weights == lang_id.train(edge.repartition(5)).weights).all()
+
+
+def test_every_language_is_sampled(spark, monkeypatch):
+    rows = [(n, f"lang {n % 90} word{n % 90} text", f"l{n % 90:02d}") for n in range(900)] + [(5000 + n, "most of all documents", "big") for n in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen, real = [], lang_id.Examples
+    monkeypatch.setattr(lang_id, "Examples", lambda rows, most: seen.append(collections.Counter(r["label"] for r in rows.collect())) or real(rows, most))
+    for most in (50, 600):  # fewer rows than languages, and more
+        assert len(lang_id.train(docs, max_rows=most, epochs=1).langs) == 91
+    assert seen[0] == {x: 1 for x in seen[0]} and len(seen[0]) == 91
+    # Six of each, and the rest go to what is next: there are enough documents of one language alone.
+    usable = collections.Counter(x for d, _, x in rows if zlib.crc32(str(d).encode()) % 5)
+    assert seen[1].total() == 600 and all(seen[1][x] >= min(6, n) for x, n in usable.items())
+
+
+def test_one_id_of_many_rows_is_one_example(spark):
+    docs = spark.createDataFrame([(1, f"text number {n}", "en") for n in range(500)] + [(n, f"other {n}", "de") for n in range(2, 40)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(n, n % 2, 0) for n in range(40)], "doc_id long, quality int, toxic int")
+    seen = []
+    for module in (quality_model, lang_id):
+        real = module.Examples
+
+        def spy(rows, most, real=real):
+            out = real(rows, most)
+            seen.append(sum(1 for _ in out))
+            return out
+
+        module.Examples = spy
+        try:
+            quality_model.train(docs, labels) if module is quality_model else lang_id.train(docs)
+        finally:
+            module.Examples = real
+    held = [sum(zlib.crc32(str(n).encode()) % of != rest for n in range(1, 40)) for of, rest in ((4, 2), (5, 0))]
+    assert seen == held
 
 
 def test_calibration_finds_the_temperature():

@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import common as C
+
+#: Examples of a file, and of those read at a time.
+PART, READ = 256, 32
 
 
 class Ftrl:
@@ -40,3 +51,24 @@ def counted(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct features and their relative frequencies."""
     idx, n = np.unique(buckets, return_counts=True)
     return idx, n / max(1, len(buckets))
+
+
+class Examples:
+    """Examples (key, idx, val, label) in a written table, in a fixed order that doesn't follow the key's. They are read
+    READ at a time, so the driver never holds all of them, however long their texts."""
+
+    def __init__(self, rows: DataFrame, most: int):
+        """most: a bound on their number."""
+        order = (F.xxhash64(F.lit(3), "key"), F.col("idx"), F.col("val"), F.col("label"))
+        rows = rows.select("key", "idx", "val", "label").repartitionByRange(max(1, -(-most // PART)), *order).sortWithinPartitions(*order)
+        self.fs, self.path = C.open_fs(C.write_table(rows, "examples")._written)
+
+    def __iter__(self) -> Iterator[tuple[np.ndarray, np.ndarray, object]]:
+        """(features, values, label) of each; those without features too."""
+        # Files are numbered in the order of their ranges.
+        files = sorted(f.path for f in self.fs.get_file_info(fs.FileSelector(self.path)) if f.base_name.startswith("part-"))
+        for file in files:
+            with self.fs.open_input_file(file) as f:
+                for batch in pq.ParquetFile(f).iter_batches(READ, columns=["idx", "val", "label"]):
+                    for idx, val, label in zip(*(batch.column(c).to_pylist() for c in ("idx", "val", "label"))):
+                        yield np.frombuffer(idx, "<i4"), np.frombuffer(val, "<f4").astype(float), label

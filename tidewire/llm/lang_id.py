@@ -2,11 +2,15 @@
 
 Texts are lower-cased code points, every run of non-letters one blank; features are hashed n-grams of 1 to 3
 characters. Document frequencies count every training document. Weights come from FTRL with elastic-net penalties on
-a bounded sample of training documents (at most ``max_rows``, those with the least hash of doc_id, a share of them per
-language first); a temperature fitted on a fifth of the sample that training didn't see calibrates the scores.
-
-Defined cases: null texts and texts without a letter are ``und`` with score 0; without training rows every text is
-``und``; documents with a null lang or a null doc_id aren't learned from; ties go to the language first by code point.
+a bounded sample of training documents: ``max_rows`` of them, or one a language if these are more; those with the least
+hash of doc_id, first an equal share of each language, then what is next of any. A temperature fitted on a fifth of
+the sample that training didn't see calibrates the scores.
+
+Defined cases: null texts and texts without a letter (category L; marks alone aren't) are ``und`` with score 0; without
+training rows every text is ``und``; documents with a null lang or a null doc_id aren't learned from; of rows with one
+doc_id the least text is learned, in its least language; ties go to the language first by code point; repeated rows are
+judged alike; an empty table gives an empty one; a very long text is read and scored whole, alone in its chunk, and the
+driver holds a few examples at a time; other columns than doc_id, text and lang are never read, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,28 +20,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common as C
-from .ftrl import Ftrl, counted, link
+from .ftrl import Examples, Ftrl, counted, link
 
 BITS, SCALE = 16, 8.0
 MAX_ROWS, EPOCHS = 4000, 2
+#: Parts of a language while its documents with the least hashes are sought.
+SALTS = 64
 _U = np.uint64
 _tables: list[np.ndarray] = []
 
 
 def _letter_table() -> np.ndarray:
-    """For each code point below 0x10000: its lower case if that is one letter, itself if another letter, else blank."""
+    """For each code point below 0x10000: its lower case if that is one letter, itself if another letter or a mark, else
+    blank; and which are marks."""
     if not _tables:
-        t = np.full(0x10000, 0x20, np.uint32)
-        for cp in range(0x10000):
+        t, marks = np.full(0x10000, 0x20, np.uint32), np.zeros(0x110000, bool)
+        for cp in range(0x110000):
             ch = chr(cp)
-            if unicodedata.category(ch)[0] in "LM":
+            kind = unicodedata.category(ch)[0]
+            marks[cp] = kind == "M"
+            if cp < 0x10000 and kind in "LM":
                 low = ch.lower()
                 t[cp] = ord(low) if len(low) == 1 else cp
-        _tables.append(t)
+        _tables.extend((t, marks))
     return _tables[0]
 
 
@@ -79,7 +88,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         acc = C.mix(acc[:-1] * _U(0xC2B2AE3D27D4EB4F) + h[k:])
         same = doc[k:] == doc[:-k]
         out[k, : len(c) - k][same] = (acc[same] >> _U(64 - BITS)).astype(np.int32)
-    letters = np.bincount(doc[c != 0x20], minlength=n_docs) if len(c) else np.zeros(n_docs, np.int64)
+    letters = np.bincount(doc[(c != 0x20) & ~_tables[1][c]], minlength=n_docs) if len(c) else np.zeros(n_docs, np.int64)
     count = sum(np.bincount(doc[o >= 0], minlength=n_docs) for o in out) if len(c) else np.zeros(n_docs, np.int64)
     return out, doc, letters, count
 
@@ -125,40 +134,46 @@ def train(docs: DataFrame, max_rows: int = MAX_ROWS, epochs: int = EPOCHS) -> Mo
         df[r["b"]] = r["n"]
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
-    # At most max_rows ids: the first of each language by hash, then the first of all.
     langs = sorted((r["lang"] for r in usable.select("lang").distinct().collect()), key=lambda x: x.encode("utf-32-be"))
     if not langs:
         return Model([], np.zeros((1 << BITS, 1)), np.zeros(1), 1.0)
-    keyed = usable.select("doc_id", "lang", F.xxhash64(F.lit(9), "doc_id").alias("h"))
-    parts = [keyed.filter(F.col("lang") == x).orderBy("h", "doc_id").limit(max(1, max_rows // len(langs))) for x in langs[:max_rows]]
-    pick = parts[0]
-    for p in parts[1:]:
-        pick = pick.unionByName(p)
-    pick = spark.createDataFrame([tuple(r) for r in pick.select("doc_id").distinct().collect()], "doc_id long")
+    most, share = max(max_rows, len(langs)), max(1, max_rows // len(langs))
+    # One pass for all languages. Each is dealt to SALTS parts first, so that none is sorted in one task.
+    first = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("h", "doc_id"))
+    ids = usable.groupBy("doc_id").agg(F.min("lang").alias("lang")).withColumn("h", F.xxhash64(F.lit(9), "doc_id"))
+    ids = ids.withColumn("salt", F.pmod("h", F.lit(SALTS))).withColumn("n", first("lang", "salt")).filter(F.col("n") <= most)
+    ids = ids.withColumn("n", first("lang")).filter(F.col("n") <= most)
+    pick = ids.orderBy(F.col("n") > share, "h", "doc_id").limit(most).select("doc_id", "lang")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, data, offsets in C.chunks(b.column("text")):
                 pairs = [counted(x) for x in _each_document(data, offsets)]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("lang").slice(lo, hi - lo), pa.array([i.astype("<i4").tobytes() for i, _ in pairs], pa.binary()), pa.array([v.astype("<f4").tobytes() for _, v in pairs], pa.binary())], names=["doc_id", "lang", "idx", "val"])
-
-    got = usable.join(F.broadcast(pick), "doc_id").select("doc_id", "lang", "text").mapInArrow(grams, "doc_id long, lang string, idx binary, val binary").toArrow()
-    order = sorted(range(len(got)), key=lambda i: (int(C.mix(np.array([got["doc_id"][i].as_py() & (1 << 63) - 1], _U))[0]), got["lang"][i].as_py(), got["idx"][i].as_py()))
-    examples = []
-    for i in order:
-        idx = np.frombuffer(got["idx"][i].as_py(), "<i4")
-        if len(idx):
-            y = np.zeros(len(langs))
-            y[langs.index(got["lang"][i].as_py())] = 1
-            examples.append((np.append(idx, 1 << BITS), np.append(np.frombuffer(got["val"][i].as_py(), "<f4") * idf[idx] * SCALE, 1.0), y))
-    tune, learn = examples[::5], [e for i, e in enumerate(examples) if i % 5]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("lang").slice(lo, hi - lo), pa.array([i.astype("<i4").tobytes() for i, _ in pairs], pa.binary()), pa.array([v.astype("<f4").tobytes() for _, v in pairs], pa.binary())], names=["key", "label", "idx", "val"])
+
+    # The sample has at most ``most`` ids, so it can be broadcast.
+    rows = usable.join(F.broadcast(pick), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    got = Examples(rows.mapInArrow(grams, "key long, label string, idx binary, val binary"), most)
+    number = {x: k for k, x in enumerate(langs)}
+
+    def examples(tune: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        n = 0
+        for idx, val, lang in got:
+            if len(idx):
+                if (n % 5 == 0) == tune:
+                    y = np.zeros(len(langs))
+                    y[number[lang]] = 1
+                    yield np.append(idx, 1 << BITS), np.append(val * idf[idx] * SCALE, 1.0), y
+                n += 1
+
     model = Ftrl((1 << BITS) + 1, len(langs), alpha=0.5, beta=1.0, l1=0.01, l2=0.05)
     for _ in range(epochs):
-        for idx, val, y in learn or tune:
+        for idx, val, y in examples(False):
             model.step(idx, val, y)
     w = model.weights()
-    raw = np.array([val @ w[idx] for idx, val, _ in tune]).reshape(len(tune), len(langs))
-    temperature = calibrate(raw, np.array([y for _, _, y in tune]).reshape(len(tune), len(langs)))
+    tuned = [(val @ w[idx], y) for idx, val, y in examples(True)]
+    raw, target = (np.array([t[k] for t in tuned]).reshape(len(tuned), len(langs)) for k in (0, 1))
+    temperature = calibrate(raw, target)
     return Model(langs, w[:-1] * idf[:, None] * SCALE, w[-1], temperature)
 
 

@@ -6,7 +6,9 @@ share of the document's features. Learning uses a bounded sample of labelled row
 doc_id, at most ``max_rows``; counts or scores need no statistics of the corpus. Only texts and labels are inputs.
 
 Defined cases: null and empty texts are scored by the bias alone; without labels every score is 0.5; a doc_id with
-several labels takes the least; a null doc_id is not held out and has no label.
+several labels takes the least, one with several texts the least of these; a null doc_id is not held out and has no
+label; repeated rows are scored alike; an empty table gives an empty one; a very long text is read and scored whole,
+alone in its chunk, and the driver holds a few examples at a time; an added column takes a name that no other has.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from .ftrl import Ftrl, counted, link
+from .ftrl import Examples, Ftrl, counted, link
 
 BITS, SCALE = 18, 16.0
 MAX_ROWS, EPOCHS = 6000, 3
@@ -78,17 +80,16 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, epochs:
                     u, v = counted(f[cut[i] : cut[i + 1]])
                     idx.append(u.astype("<i4").tobytes())
                     val.append(v.astype("<f4").tobytes())
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("quality").slice(lo, hi - lo), pa.array(idx, pa.binary()), pa.array(val, pa.binary())], names=["doc_id", "quality", "idx", "val"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("quality").slice(lo, hi - lo), pa.array(idx, pa.binary()), pa.array(val, pa.binary())], names=["key", "label", "idx", "val"])
 
     C.small_batches(docs.sparkSession)
     # The sample has at most max_rows ids, so it can be broadcast.
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(pick), "doc_id")
-    got = rows.select("doc_id", "quality", "text").mapInArrow(run, "doc_id long, quality int, idx binary, val binary").toArrow()
-    order = sorted(range(len(got)), key=lambda i: (int(C.mix(np.array([got["doc_id"][i].as_py() & (1 << 63) - 1], _U))[0]), got["idx"][i].as_py()))
-    examples = [(np.frombuffer(got["idx"][i].as_py(), "<i4"), np.frombuffer(got["val"][i].as_py(), "<f4").astype(float) * SCALE, got["quality"][i].as_py()) for i in order]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(pick), "doc_id")
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    got = Examples(rows.mapInArrow(run, "key long, label int, idx binary, val binary"), max_rows)
     for _ in range(epochs):
-        for idx, val, y in examples:
-            model.step(np.append(idx, 1 << BITS), np.append(val, 1.0), np.array([float(y > 0)]))
+        for idx, val, y in got:
+            model.step(np.append(idx, 1 << BITS), np.append(val * SCALE, 1.0), np.array([float(y > 0)]))
     return model.weights()[:, 0]
 
 
