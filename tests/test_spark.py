@@ -4,6 +4,7 @@ import datetime as dt
 import socket
 import struct
 import threading
+import time
 
 import pyarrow as pa
 import pytest
@@ -149,13 +150,19 @@ def test_stream_windows(spark, tmp_path):
 class Peer:
     """A stub that answers each call with the next of its replies; a reply may be several messages."""
 
-    def __init__(self, replies, greeting=b"\x06"):
-        self.server, self.seen, self.replies, self.greeting = socket.create_server(("127.0.0.1", 0)), [], list(replies), greeting
+    def __init__(self, replies, greeting=b"\x06", context=None, linger=0):
+        self.server, self.seen, self.modes, self.replies, self.greeting = socket.create_server(("127.0.0.1", 0)), [], [], list(replies), greeting
+        self.context, self.linger = context, linger
         self.port = self.server.getsockname()[1]
         threading.Thread(target=self.run, daemon=True).start()
 
     def run(self):
         c, _ = self.server.accept()
+        if self.context:
+            try:
+                c = self.context.wrap_socket(c, server_side=True)
+            except OSError:
+                return
         self.hello = c.recv(1024)
         c.sendall(self.greeting)
         while self.greeting and self.replies:
@@ -168,7 +175,9 @@ class Peer:
             while len(body) < size:
                 body += c.recv(size - len(body))
             self.seen.append((head[1], body))
+            self.modes.append((head[2], size + 8))
             c.sendall(self.replies.pop(0))
+        time.sleep(self.linger)
         c.close()
 
 
@@ -246,6 +255,108 @@ def test_remote_tables(spark, tmp_path):
     assert sorted(v for g in desk.got for v in g[2]["id"].to_pylist()) == list(range(5))
 
 
+def certificate(tmp_path):
+    """A TLS context of a server on localhost, and one of a client that trusts it."""
+    import shutil
+    import ssl
+    import subprocess
+
+    if not shutil.which("openssl"):
+        pytest.skip("there is no openssl to make a certificate")
+    key, cert = str(tmp_path / "key.pem"), str(tmp_path / "cert.pem")
+    made = subprocess.run(["openssl", "req", "-x509", "-newkey", "rsa:2048", "-nodes", "-keyout", key, "-out", cert, "-days", "2", "-subj", "/CN=localhost", "-addext", "subjectAltName=DNS:localhost,IP:127.0.0.1"], capture_output=True)
+    assert made.returncode == 0, made.stderr
+    server, client = ssl.SSLContext(ssl.PROTOCOL_TLS_SERVER), ssl.create_default_context(cafile=cert)
+    server.load_cert_chain(cert, key)
+    return server, client
+
+
+def test_tls(tmp_path):
+    server, client = certificate(tmp_path)
+    peer = Peer([make_message("response", False, pa.table({"a": list(range(200000))}))], context=server, linger=2)
+    with Connection("127.0.0.1", peer.port, "me", "pw", tls=client) as c:
+        assert c.sync("t")["a"].to_pylist()[-1] == 199999 and not c.ready(0.01)
+    assert peer.hello == b"me:pw\x06\0"
+    with pytest.raises(ConnectionFailed):  # a certificate that nobody vouches for
+        Connection("127.0.0.1", Peer([b""], context=server).port, tls=True).connect()
+
+
+def test_large_remote_calls_are_compressed(monkeypatch):
+    from tidewire.sources import remote
+
+    monkeypatch.setattr(remote, "COMPRESS_FROM", 5000)
+    for local in (True, False):
+        peer = Peer([make_message("response", False, 1)] * 3)
+        c = Connection("127.0.0.1", peer.port, "me")
+        monkeypatch.setattr(Connection, "is_local", local)
+        for args in ((pa.table({"a": [7] * 2000}),), (pa.table({"a": [7] * 9}),), ()):
+            c.sync("f" if args else "x" * 9000, *args)
+        c.disconnect()
+        # Large calls with arguments alone, and only to other machines.
+        assert [m for m, _ in peer.modes] == [0 if local else 1, 0, 0]
+        assert read_message(struct.pack("<BBBBI", 1, 1, peer.modes[0][0], 0, peer.modes[0][1]) + peer.seen[0][1])[1].num_rows == 2000
+
+
+def test_frames_as_arguments_and_results(spark):
+    import pandas as pd
+
+    frame = pd.DataFrame({"s": ["a", "b"], "n": [1, 2]}, index=[5, 6])
+    peer = Peer([make_message("response", False, 0)] * 2)
+    with Connection("127.0.0.1", peer.port, "me") as c:
+        c.sync("upsert", "t", frame)
+        c.sync("upsert", "t", spark.createDataFrame(frame))
+    for _, body in peer.seen:
+        name, table, rows = read_message(struct.pack("<BBBBI", 1, 1, 0, 0, len(body) + 8) + body)
+        assert (name, table, rows.to_pydict()) == ("upsert", "t", {"s": ["a", "b"], "n": [1, 2]})
+    desk = Desk({"a": pa.table({"id": [1, 2]}), "b": pa.table({"id": [3]})})
+    with Connection("127.0.0.1", desk.port, "me") as c:
+        both = c.frame(spark, "a", "b")
+        assert both.rdd.getNumPartitions() == 2 and sorted(r["id"] for r in both.collect()) == [1, 2, 3]
+
+
+def test_pushes_beyond_the_bound_fail_the_call():
+    push = make_message("async", False, ["upd", "t", pa.table({"a": [1] * 100})])
+    peer = Peer([push * 20 + make_message("response", False, 7)])
+    with Connection("127.0.0.1", peer.port, "me", most_pushed=5000) as c, pytest.raises(CallError, match="pushed"):
+        c.sync("t")
+
+
+def test_live_stream(spark, tmp_path):
+    push = lambda ids: make_message("async", False, ["upd", "t", pa.table({"id": ids, "x": ["?"] * len(ids)})])
+    peer = Peer([make_message("response", False, 0) + push([1, 2]) + make_message("async", False, ["upd", "other", pa.table({"id": [9]})]) + push([3]) + push([4])], linger=20)
+    rows = subscription.live(spark, "t", T.StructType([T.StructField("id", T.LongType())]), ["a"], port=str(peer.port), user="me", wait="0.2", messages="2")
+    q = rows.writeStream.format("memory").queryName("pushed").option("checkpointLocation", str(tmp_path / "c")).start()
+    try:
+        for _ in range(100):
+            if spark.table("pushed").count() >= 4:
+                break
+            q.awaitTermination(0.3)
+        assert sorted(r["id"] for r in spark.table("pushed").collect()) == [1, 2, 3, 4]
+    finally:
+        q.stop()
+    assert read_message(struct.pack("<BBBBI", 1, 1, 0, 0, len(peer.seen[0][1]) + 8) + peer.seen[0][1])[0] == ".u.sub"
+
+
+def test_readers_pass_over_other_columns(spark, tmp_path):
+    binary_table.register(spark)
+    t = pa.table({"s": pa.array(["a", "bcd"]), "sym": pa.array(["a", "b"]).dictionary_encode(), "v": pa.array([[1.0], [2.0, 3.0]]), "w": pa.array([[1, 2], [3, 4]]), "g": pa.array([["x", "yz"], []]), "n": pa.array([1, 2]), "b": pa.array([True, False])})
+    (tmp_path / "f").write_bytes(zip_table(t, 16))
+    for name, kind in (("n", "long"), ("s", "string"), ("b", "boolean"), ("v", "array<double>")):
+        got = spark.read.format("tidewire").schema(f"{name} {kind}").load(str(tmp_path / "f")).collect()
+        assert [r[0] for r in got] == t[name].to_pylist()
+    with pytest.raises(Exception, match="without"):
+        spark.read.format("tidewire").schema("missing long").load(str(tmp_path / "f")).collect()
+
+
+def test_upserts_cut_their_plan(spark):
+    s = Session(spark)
+    s.put("kept", spark.createDataFrame([(0, 0)], "k long, v long"), keys=("k",))
+    for i in range(20):
+        s.sync("upsert", "kept", spark.createDataFrame([(i % 5, i)], "k long, v long"))
+    assert sorted(map(tuple, s.table("kept").collect())) == [(k, 15 + k) for k in range(5)]
+    assert s.table("kept")._jdf.queryExecution().analyzed().toString().count("Join") <= 8
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 

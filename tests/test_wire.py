@@ -11,7 +11,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidewire.errors import DecodeError, EncodeError, RemoteError
-from tidewire.wire import Typed, compress, decode, decompress, encode, make_message, read_message, read_table_bytes, unzip, zip_table
+from tidewire.wire import Typed, compress, decode, decompress, encode, encode_parts, make_message, read_message, read_table_bytes, unzip, zip_table
+from tidewire.wire.message import frame, parse_header
 
 ATOMS = [
     (True, "ff01"),
@@ -196,3 +197,49 @@ def test_errors():
     for bad in ({}, {1: 2}, 1 << 63, object(), pa.array([b"short"]), pa.array([None, None])):
         with pytest.raises(EncodeError):
             encode(bad)
+
+
+def test_long_messages():
+    """Lengths from 4 GiB on go on in the header's fourth byte; compressed ones in mode 2 have 8 bytes of length."""
+
+    class Long(bytes):
+        def __len__(self):
+            return (5 << 32) + 3
+
+    head = frame(1, [Long()])[0]
+    assert head == struct.pack("<BBBBI", 1, 1, 0, 5, 11) and parse_header(head) == (1, 0, (5 << 32) + 11)
+    with pytest.raises(EncodeError, match="TiB"):
+        frame(1, [type("Huge", (bytes,), {"__len__": lambda self: 1 << 40})()])
+    plain = make_message("response", False, pa.table({"a": [5] * 4000}))
+    short = compress(plain)
+    assert short[2] == 1 and len(short) < len(plain)
+    wide = short[:2] + b"\2" + short[3:4] + struct.pack("<I", len(short) + 4) + struct.pack("<Q", len(plain)) + short[12:]
+    assert read_message(wide)["a"].to_pylist() == [5] * 4000
+
+
+def test_numbers_without_nulls_are_not_copied():
+    a = pa.array(np.random.default_rng(1).random(1000))
+    parts = encode_parts(pa.table({"a": a}))
+    assert np.shares_memory(np.frombuffer(parts[-1], np.uint8), np.frombuffer(a.buffers()[1], np.uint8))
+    assert b"".join(parts) == encode(pa.table({"a": a}))
+
+
+def test_guids_and_lists_of_symbols():
+    ids = [uuid.uuid4().bytes for _ in range(5)]
+    for kind in (pa.binary(), pa.binary(16)):
+        got = decode(encode(pa.array([ids[0], None, *ids[1:]], kind)[0:]))
+        assert got.to_pylist() == [ids[0], b"\0" * 16, *ids[1:]]
+        assert decode(encode(pa.array([None, *ids], kind)[2:])).to_pylist() == ids[1:]
+    with pytest.raises(EncodeError, match="16"):
+        encode(pa.array([b"short"]))
+    lists = [["a", "bcd", ""], [], None, ["ef"], ["é"] * 3]
+    for part in (slice(0, 5), slice(1, 4), slice(4, 5)):
+        want = [x or [] for x in lists[part]]
+        assert decode(encode(pa.array(lists, pa.list_(pa.string()))[part])).to_pylist() == want
+    assert decode(encode(pa.array([[ids[0]], ids[1:3]], pa.list_(pa.binary())))).to_pylist() == [[ids[0]], ids[1:3]]
+
+
+@pytest.mark.parametrize(("code", "items", "want"), [(13, [0, -(1 << 31), 291], [dt.date(2000, 1, 1), None, dt.date(2024, 4, 1)]), (15, [0.5, float("nan")], [dt.datetime(2000, 1, 1, 12), None])])
+def test_month_and_datetime_atoms(code, items, want):
+    got = [decode(encode(Typed(code, x))) for x in items]
+    assert got == want

@@ -95,9 +95,9 @@ def wire_schema(schema: T.StructType, symbols: tuple[str, ...] = ()) -> list[int
     return out
 
 
-def with_kinds(batch: pa.RecordBatch, kinds: list[int | None]) -> pa.RecordBatch:
+def with_kinds[B: (pa.RecordBatch, pa.Table)](batch: B, kinds: list[int | None]) -> B:
     fields = [f if k is None else f.with_metadata({b"ktype": str(k).encode()}) for f, k in zip(batch.schema, kinds)]
-    return pa.RecordBatch.from_arrays(batch.columns, schema=pa.schema(fields))
+    return type(batch).from_arrays(batch.columns, schema=pa.schema(fields))
 
 
 def encode_messages(df: DataFrame, kind: str = "async", compressed: bool = False, rows: int = 65536, symbols: tuple[str, ...] = (), target: str | None = None) -> DataFrame:
@@ -123,12 +123,14 @@ def encode_messages(df: DataFrame, kind: str = "async", compressed: bool = False
 
 
 def decode_messages(messages: DataFrame, schema: T.StructType, column: str = "payload", nested_inf_null: bool = False) -> DataFrame:
-    """The rows of all messages' tables; a message with other columns or types is an error."""
+    """The rows of all messages' tables; other columns than the schema's are passed over, ones that aren't there or have
+    another type are an error."""
+    names = frozenset(schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for raw in b.column(0).to_pylist():
-                value = read_message(raw, nested_inf_null)
+                value = read_message(raw, nested_inf_null, names)
                 if isinstance(value, tuple) and value and isinstance(value[-1], pa.Table):
                     value = value[-1]
                 if not isinstance(value, pa.Table):

@@ -19,6 +19,10 @@ _SET = re.compile(r"(\w+)\s*:\s*(\w+)")
 _SQL = re.compile(r"(select|with|values|table)\b", re.I)
 
 
+#: Upserts of a table after which its plan is cut.
+UPSERTS = 8
+
+
 class Session:
     """Tables are views by name; a table's row order is a column named when it is put in."""
 
@@ -27,6 +31,7 @@ class Session:
         self.functions: dict[str, Callable] = {}
         self.ordinals: dict[str, str] = {}
         self.keys: dict[str, tuple[str, ...]] = {}
+        self.upserts: dict[str, int] = {}
         self.register("upsert", self._upsert)
         self.register(".gw.query", lambda name, args: qexpr.gateway_query(self.table(name), args.get("date"), args.get("syms"), args.get("startTime"), args.get("endTime")))
 
@@ -44,9 +49,19 @@ class Session:
 
     def _upsert(self, name: str, rows: DataFrame) -> str:
         merged = qexpr.upsert(self.table(name), rows, self.keys.get(name, ()))
+        # Every so often the table is written to the checkpoint folder, so that its plan stays short.
+        self.upserts[name] = self.upserts.get(name, 0) + 1
+        if self.upserts[name] % UPSERTS == 0 and self._folder():
+            merged = merged.checkpoint()
         self.put(name, merged, self.ordinals.get(name), self.keys.get(name, ()))
         return name
 
+    def _folder(self) -> bool:
+        context = self.spark.sparkContext
+        if not context.getCheckpointDir() and (named := self.spark.conf.get("spark.checkpoint.dir", None)):
+            context.setCheckpointDir(named)
+        return bool(context.getCheckpointDir())
+
     def sync(self, expr: str, *args: Any) -> Any:
         """The result of a call or a query; a DataFrame for tables."""
         text = expr.strip()

@@ -1,7 +1,7 @@
 """Spark data source ``tidewire``: serialized table files, plain or in LZ4 blocks; one partition a file.
 
 Options: temporal (micros or nanos), nestedInfNull; for writes block (log2 of LZ4 block bytes) and rows (most rows of a
-file, 4,000,000 unless set). The path may be a file, a folder or a glob of any file system that pyarrow opens. A file
+file, 4,000,000 unless set). A schema given to the reader may name fewer columns: the others are passed over. The path may be a file, a folder or a glob of any file system that pyarrow opens. A file
 whose columns differ from the schema fails.
 
 Tasks write hidden files, which readers pass over; the driver shows those of the attempts that count once all tasks have
@@ -27,12 +27,13 @@ from ..wire import read_table_bytes, zip_table
 ROWS = 4_000_000
 
 
-def _fs(uri: str):
+def file_system(uri: str):
+    """(pyarrow file system, path) of a URI or a local path."""
     from pyarrow import fs
 
-    if "://" in uri:
+    if "://" in uri and not uri.startswith("file:"):
         return fs.FileSystem.from_uri(uri)
-    return fs.LocalFileSystem(), uri.removeprefix("file:")
+    return fs.LocalFileSystem(), uri.removeprefix("file://").removeprefix("file:")
 
 
 def _files(path: str) -> list[str]:
@@ -40,7 +41,7 @@ def _files(path: str) -> list[str]:
 
     from pyarrow import fs
 
-    where, base = _fs(path)
+    where, base = file_system(path)
     prefix = path[: len(path) - len(base)] if path.endswith(base) else ""
     if any(c in base for c in "*?["):
         top = base[: min(base.find(c) for c in "*?[" if c in base)].rsplit("/", 1)[0]
@@ -54,12 +55,12 @@ def _files(path: str) -> list[str]:
     return [prefix + n for n in sorted(names) if not n.rsplit("/", 1)[-1].startswith(("_", "."))]
 
 
-def read_file(path: str, nested_inf_null: bool = False) -> pa.Table:
-    """The table of one file, on the driver or in a task."""
-    where, base = _fs(path)
+def read_file(path: str, nested_inf_null: bool = False, columns: frozenset[str] | None = None) -> pa.Table:
+    """The table of one file, or only those columns of it, on the driver or in a task."""
+    where, base = file_system(path)
     try:
-        with where.open_input_stream(base, compression=None) as f:
-            return read_table_bytes(f.read(), nested_inf_null)
+        with where.open_input_file(base) as f:
+            return read_table_bytes(f.read(), nested_inf_null, columns)
     except OSError as e:
         raise ConnectionFailed(str(e)) from e
 
@@ -81,7 +82,7 @@ class _Reader(DataSourceReader):
         return [_File(p) for p in _files(self.options["path"])]
 
     def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
-        table = read_file(partition.path, self.options.get("nestedinfnull", "false") == "true")
+        table = read_file(partition.path, self.options.get("nestedinfnull", "false") == "true", frozenset(self.schema.names))
         batch = as_batch(table, self.schema)
         for lo in range(0, max(1, batch.num_rows), 65536):
             yield batch.slice(lo, 65536)
@@ -103,7 +104,7 @@ class _Writer(DataSourceArrowWriter):
         import uuid
 
         block = self.options.get("block")
-        where, base = _fs(self.options["path"])
+        where, base = file_system(self.options["path"])
         where.create_dir(base, recursive=True)
         name = f"part-{self.job}-{uuid.uuid4().hex}"
         with where.open_output_stream(f"{base}/.{name}", compression=None) as f:
@@ -128,14 +129,14 @@ class _Writer(DataSourceArrowWriter):
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         path = self.options["path"]
-        where, base = _fs(path)
+        where, base = file_system(path)
         old = _files(path) if self.overwrite and where.get_file_info(base).type.name != "NotFound" else []
         names = [n for m in messages if m is not None for n in m.names]
         # Without rows the schema still needs a file.
         for n in names or [self._put([empty_batch(self.schema)])]:
             where.move(f"{base}/.{n}", f"{base}/{n}")
         for o in old:
-            where.delete_file(_fs(o)[1])
+            where.delete_file(file_system(o)[1])
         self._clean()
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
@@ -145,7 +146,7 @@ class _Writer(DataSourceArrowWriter):
         """Removes hidden files of attempts that don't count; one of a task that is still running may come after it."""
         from pyarrow import fs
 
-        where, base = _fs(self.options["path"])
+        where, base = file_system(self.options["path"])
         for f in where.get_file_info(fs.FileSelector(base, allow_not_found=True)):
             if f.base_name.startswith(f".part-{self.job}-"):
                 where.delete_file(f.path)
@@ -170,10 +171,11 @@ class BinaryTableSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    """Makes the formats ``tidewire`` and ``tidewire-remote`` known, and TIME columns usable."""
+    """Makes the formats ``tidewire``, ``tidewire-remote`` and ``tidewire-updates`` known, and TIME columns usable."""
     from .remote_table import RemoteTableSource
+    from .remote_updates import RemoteUpdatesSource
 
     ship(spark)
-    spark.dataSource.register(BinaryTableSource)
-    spark.dataSource.register(RemoteTableSource)
+    for source in (BinaryTableSource, RemoteTableSource, RemoteUpdatesSource):
+        spark.dataSource.register(source)
     spark.conf.set("spark.sql.timeType.enabled", "true")

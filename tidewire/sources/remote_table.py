@@ -27,7 +27,8 @@ from .remote import Connection
 ROWS = 65536
 
 
-def _connection(options: dict) -> Connection:
+def connection(options: dict) -> Connection:
+    """A connection as the options of a source describe it."""
     timeout = options.get("timeout")
     return Connection(options.get("host", ""), int(options["port"]), options.get("user", ""), options.get("password", ""), tls=options.get("tls", "false").lower() == "true", attempts=int(options.get("attempts", "1")), timeout=float(timeout) if timeout else None, nested_inf_null=options.get("nestedinfnull", "false").lower() == "true")
 
@@ -40,7 +41,7 @@ def _queries(options: dict) -> list[str]:
 
 
 def _ask(options: dict, text: str) -> pa.Table:
-    with _connection(options) as c:
+    with connection(options) as c:
         got = c.sync(text)
     if not isinstance(got, pa.Table):
         raise DecodeError(f"{text[:80]!r} didn't return a table")
@@ -75,16 +76,16 @@ class _Writer(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         call, table, rows = self.options.get("call", "upsert"), self.options["table"], int(self.options.get("rows", ROWS))
-        connection = None
+        link = None
         try:
             for b in iterator:
                 for lo in range(0, b.num_rows, rows):
-                    connection = connection or _connection(self.options)
-                    send = connection.sync if self.options.get("wait", "true").lower() == "true" else connection.asyn
+                    link = link or connection(self.options)
+                    send = link.sync if self.options.get("wait", "true").lower() == "true" else link.asyn
                     send(call, table, with_kinds(b.slice(lo, rows), self.kinds))
         finally:
-            if connection is not None and connection.sock is not None:
-                connection.disconnect()
+            if link is not None and link.sock is not None:
+                link.disconnect()
         return WriterCommitMessage()
 
 

@@ -50,8 +50,9 @@ class Typed:
 
 
 class Reader:
-    def __init__(self, data: bytes | memoryview, pos: int = 0, nested_inf_null: bool = False):
-        self.data, self.pos, self.nested_inf_null = memoryview(data), pos, nested_inf_null
+    def __init__(self, data: bytes | memoryview, pos: int = 0, nested_inf_null: bool = False, columns: frozenset[str] | None = None):
+        """columns: those of tables that are wanted, if not all; others are passed over."""
+        self.data, self.pos, self.nested_inf_null, self.columns = memoryview(data), pos, nested_inf_null, columns
 
     def take(self, n: int) -> memoryview:
         if n < 0 or self.pos + n > len(self.data):
@@ -134,8 +135,8 @@ class Reader:
             return dt.date.fromordinal(min(max(ns + _DAY0, 1), dt.date.max.toordinal()))
         return _UNIX + dt.timedelta(microseconds=ns // 1000)
 
-    def symbols(self, n: int) -> pa.Array:
-        """n symbols, each ended by a zero byte."""
+    def _ends(self, n: int) -> np.ndarray:
+        """Where each of n symbols ends, counted from here."""
         rest = np.frombuffer(self.data[self.pos :], np.uint8)
         look, ends = 16 * n + 64, np.zeros(0, np.int64)
         while n and len(ends) < n:  # the message may go on for long after the symbols
@@ -143,6 +144,11 @@ class Reader:
             if len(ends) < n and look >= len(rest):
                 raise DecodeError(f"{n} symbols at byte {self.pos}, of which {len(ends)} have an end")
             look *= 4
+        return ends
+
+    def symbols(self, n: int) -> pa.Array:
+        """n symbols, each ended by a zero byte."""
+        ends = self._ends(n)
         stop = int(ends[-1]) + 1 if n else 0
         raw = bytes(self.take(stop))
         try:
@@ -224,6 +230,25 @@ class Reader:
         self.pos += n * step
         return size, np.ascontiguousarray(grid[:, 6:]).reshape(-1)
 
+    def skip(self) -> None:
+        """Passes over a column."""
+        t = self.byte()
+        if t == 0:
+            n, start = self.count(), self.pos
+            code = self.data[start] if n and start < len(self.data) else 0
+            if n and (code not in KINDS or self._even(n, code) is None):
+                self.pos = start
+                for _ in range(n):
+                    self.skip()
+        elif t == 11:
+            n = self.count()
+            ends = self._ends(n)
+            self.take(int(ends[-1]) + 1 if n else 0)
+        elif t in KINDS:
+            self.take(self.count() * KINDS[t].width)
+        else:
+            raise DecodeError(f"a column of kind {t} at byte {self.pos - 1}")
+
     def table(self) -> pa.Table:
         if self.byte() != DICT:
             raise DecodeError(f"a table's columns at byte {self.pos - 1} aren't a dictionary")
@@ -237,6 +262,9 @@ class Reader:
             raise DecodeError("a table has not as many columns as names")
         fields, arrays = [], []
         for name in names.to_pylist():
+            if self.columns is not None and name not in self.columns:
+                self.skip()
+                continue
             v = self.value(column=True)
             if not isinstance(v, Vector):
                 raise DecodeError(f"column {name} isn't a list")
@@ -314,18 +342,20 @@ def plain_array(code: int, v: np.ndarray, nested: bool) -> pa.Array:
     return pa.array(days.astype(np.int32), pa.int32(), mask=null).cast(k.arrow)
 
 
-def decode_at(data: bytes, pos: int = 0, nested_inf_null: bool = False) -> tuple[Any, int]:
-    """(value, position after it)."""
-    r = Reader(data, pos, nested_inf_null)
+def decode_at(data: bytes, pos: int = 0, nested_inf_null: bool = False, columns: frozenset[str] | None = None) -> tuple[Any, int]:
+    """(value, position after it); of tables only those columns, if they are named."""
+    r = Reader(data, pos, nested_inf_null, columns)
     return r.value(), r.pos
 
 
-def decode(data: bytes, nested_inf_null: bool = False) -> Any:
-    return decode_at(data, 0, nested_inf_null)[0]
+def decode(data: bytes, nested_inf_null: bool = False, columns: frozenset[str] | None = None) -> Any:
+    return decode_at(data, 0, nested_inf_null, columns)[0]
 
 
 # -- encoding ---------------------------------------------------------------------------------
 
+Part = bytes | memoryview
+
 
 def _head(code: int, n: int) -> bytes:
     if n > MAX_COUNT:
@@ -334,16 +364,34 @@ def _head(code: int, n: int) -> bytes:
 
 
 def encode(value: Any) -> bytes:
+    return b"".join(encode_parts(value))
+
+
+def encode_parts(value: Any) -> list[Part]:
+    """The value's bytes in buffers, which may be the value's own: numbers without nulls aren't copied."""
+    if isinstance(value, Vector):
+        return _array(value.array, value.code or None)
+    if isinstance(value, pa.Table | pa.RecordBatch):
+        return _table(value)
+    if isinstance(value, pa.Array | pa.ChunkedArray):
+        return _array(value)
+    if isinstance(value, dict):
+        if not value:
+            raise EncodeError("an empty dictionary has no kind of values")
+        if not all(isinstance(k, str) for k in value):
+            raise EncodeError("a dictionary's keys must be text")
+        return [bytes((DICT,)) + _head(11, len(value)) + b"".join(map(_symbol, value)) + _head(0, len(value)), *(p for v in value.values() for p in encode_parts(v))]
+    if isinstance(value, list | tuple):
+        return [_head(0, len(value)), *(p for v in value for p in encode_parts(v))]
+    return [_plain(value)]
+
+
+def _plain(value: Any) -> bytes:
+    """An atom or a char list."""
     if value is None:
         return bytes((UNARY, 0))
     if isinstance(value, Typed):
         return _typed(value)
-    if isinstance(value, Vector):
-        return encode_array(value.array, value.code or None)
-    if isinstance(value, pa.Table | pa.RecordBatch):
-        return encode_table(value)
-    if isinstance(value, pa.Array | pa.ChunkedArray):
-        return encode_array(value)
     if isinstance(value, bool):
         return bytes((255, value))
     if isinstance(value, int):
@@ -369,14 +417,6 @@ def encode(value: Any) -> bytes:
         return struct.pack("<Bi", 237, ms)
     if isinstance(value, dt.timedelta):
         return struct.pack("<Bq", 240, value // dt.timedelta(microseconds=1) * 1000)
-    if isinstance(value, dict):
-        if not value:
-            raise EncodeError("an empty dictionary has no kind of values")
-        if not all(isinstance(k, str) for k in value):
-            raise EncodeError("a dictionary's keys must be text")
-        return bytes((DICT,)) + _head(11, len(value)) + b"".join(map(_symbol, value)) + _head(0, len(value)) + b"".join(map(encode, value.values()))
-    if isinstance(value, list | tuple):
-        return _head(0, len(value)) + b"".join(map(encode, value))
     raise EncodeError(f"{type(value).__name__} can't be encoded")
 
 
@@ -404,13 +444,18 @@ def _typed(a: Typed) -> bytes:
     return bytes((256 - a.code,)) + body
 
 
-def encode_table(table: pa.Table | pa.RecordBatch) -> bytes:
+def _table(table: pa.Table | pa.RecordBatch) -> list[Part]:
     """Always a plain table; columns keep their kind where fields carry one."""
     if not table.num_columns:
         raise EncodeError("a table without columns")
     names = b"".join(map(_symbol, table.schema.names))
-    columns = [encode_array(table.column(i), int(f.metadata[b"ktype"]) if f.metadata and b"ktype" in f.metadata else None) for i, f in enumerate(table.schema)]
-    return bytes((TABLE, 0, DICT)) + _head(11, table.num_columns) + names + _head(0, table.num_columns) + b"".join(columns)
+    columns = [p for i, f in enumerate(table.schema) for p in _array(table.column(i), int(f.metadata[b"ktype"]) if f.metadata and b"ktype" in f.metadata else None)]
+    return [bytes((TABLE, 0, DICT)) + _head(11, table.num_columns) + names + _head(0, table.num_columns), *columns]
+
+
+def _raw(v: np.ndarray, dtype: Any = None) -> memoryview:
+    """An array's bytes, copied only if they aren't in order or of another type."""
+    return memoryview(np.ascontiguousarray(v, dtype)).cast("B") if len(v) else memoryview(b"")
 
 
 def _numbers(array: pa.Array, kind: pa.DataType, null: Any) -> np.ndarray:
@@ -418,7 +463,7 @@ def _numbers(array: pa.Array, kind: pa.DataType, null: Any) -> np.ndarray:
     return (pc.fill_null(a, null) if a.null_count else a).to_numpy(zero_copy_only=False)
 
 
-def encode_array(array: pa.Array | pa.ChunkedArray, code: int | None = None) -> bytes:
+def _array(array: pa.Array | pa.ChunkedArray, code: int | None = None) -> list[Part]:
     """A list of the kind ``code`` if it suits the array, else of the kind its type stands for."""
     if isinstance(array, pa.ChunkedArray):
         array = array.combine_chunks() if array.num_chunks != 1 else array.chunk(0)
@@ -429,45 +474,48 @@ def encode_array(array: pa.Array | pa.ChunkedArray, code: int | None = None) ->
     if pa.types.is_null(t):
         if n:
             raise EncodeError("a list of nulls has no kind")
-        return _head(0, 0)
+        return [_head(0, 0)]
     if pa.types.is_boolean(t):
-        return _head(1, n) + pc.fill_null(array, False).cast(pa.uint8()).to_numpy(zero_copy_only=False).tobytes()
+        return [_head(1, n), _raw(pc.fill_null(array, False).cast(pa.uint8()).to_numpy(zero_copy_only=False))]
     if pa.types.is_uint8(t) or (code == 4 and pa.types.is_integer(t)):
-        return _head(4, n) + _numbers(array, pa.uint8(), 0).tobytes()
+        return [_head(4, n), _raw(_numbers(array, pa.uint8(), 0))]
     for c, types in ((5, (pa.int8(), pa.int16())), (6, (pa.int32(), pa.uint16())), (7, (pa.int64(), pa.uint32()))):
         if t in types:
             if code in (12, 16) and c == 7:
                 v = _numbers(array, pa.int64(), I64.min)
-                return _head(code, n) + (v if code == 16 else np.where(v == I64.min, v, saturating_add(v, -EPOCH_NS))).astype("<i8").tobytes()
+                return [_head(code, n), _raw(v if code == 16 else np.where(v == I64.min, v, saturating_add(v, -EPOCH_NS)), "<i8")]
             dtype = KINDS[c].dtype
-            return _head(c, n) + _numbers(array, KINDS[c].arrow, int(np.iinfo(dtype).min)).astype(dtype).tobytes()
+            return [_head(c, n), _raw(_numbers(array, KINDS[c].arrow, int(np.iinfo(dtype).min)), dtype)]
     if pa.types.is_floating(t):
         c = 9 if pa.types.is_float64(t) else 8
-        return _head(c, n) + _numbers(array, KINDS[c].arrow, float("nan")).astype(KINDS[c].dtype).tobytes()
+        return [_head(c, n), _raw(_numbers(array, KINDS[c].arrow, float("nan")), KINDS[c].dtype)]
     if pa.types.is_string(t) or pa.types.is_large_string(t):
         return _strings(array, code)
     if pa.types.is_timestamp(t) or pa.types.is_duration(t):
         unit = {"s": 10**9, "ms": 10**6, "us": 1000, "ns": 1}[t.unit]
         v = _numbers(array, pa.int64(), I64.min)
-        null = v == I64.min
-        big = np.abs(v.astype(np.float64)) * unit >= 2.0**63
-        with np.errstate(over="ignore"):
-            ns = np.where(big, np.where(v > 0, I64.max, I64.min + 1), v * np.int64(unit))
+        ns = v
+        if unit > 1:
+            most = I64.max // unit
+            with np.errstate(over="ignore"):
+                ns = np.where(v > most, I64.max, np.where(v < -most, I64.min + 1, v * np.int64(unit)))
         if pa.types.is_timestamp(t):
             ns = saturating_add(ns, -EPOCH_NS)
-        return _head(12 if pa.types.is_timestamp(t) else 16, n) + np.where(null, I64.min, ns).astype("<i8").tobytes()
+        if array.null_count:
+            ns = np.where(v == I64.min, I64.min, ns)
+        return [_head(12 if pa.types.is_timestamp(t) else 16, n), _raw(ns, "<i8")]
     if pa.types.is_date(t):
         days = _numbers(array.cast(pa.date32()), pa.int32(), -(1 << 31)).astype(np.int64)
-        return _head(14, n) + np.where(days == -(1 << 31), days, np.maximum(days - EPOCH_DAYS, -(1 << 31) + 1)).astype("<i4").tobytes()
+        return [_head(14, n), _raw(np.where(days == -(1 << 31), days, np.maximum(days - EPOCH_DAYS, -(1 << 31) + 1)), "<i4")]
     if pa.types.is_time(t):
         unit = {"s": 10**9, "ms": 10**6, "us": 1000, "ns": 1}[t.unit]
         v = _numbers(array, pa.int32() if t.bit_width == 32 else pa.int64(), -1).astype(np.int64)
-        return _head(19, n) + np.where(v < 0, -(1 << 31), v * unit // 1_000_000).astype("<i4").tobytes()
+        return [_head(19, n), _raw(np.where(v < 0, -(1 << 31), v * unit // 1_000_000), "<i4")]
     if pa.types.is_fixed_size_binary(t) or pa.types.is_binary(t) or pa.types.is_large_binary(t):
-        items = [b"\0" * 16 if x is None else x for x in array.to_pylist()]
-        if any(len(x) != 16 for x in items):
+        data, offsets = _bytes(array, b"\0" * 16)
+        if (np.diff(offsets) != 16).any():
             raise EncodeError("binary values other than guids of 16 bytes")
-        return _head(2, n) + b"".join(items)
+        return [_head(2, n), _raw(data)]
     if pa.types.is_list(t) or pa.types.is_large_list(t) or pa.types.is_fixed_size_list(t):
         return _lists(array)
     raise EncodeError(f"an array of {t} can't be encoded")
@@ -485,36 +533,49 @@ def _spread(data: np.ndarray, offsets: np.ndarray, before: int, after: int) -> t
     return out, starts
 
 
-def _headed(kind: int, data: np.ndarray, offsets: np.ndarray, width: int) -> bytes:
-    """Each item of data as a list of its own; offsets are in bytes."""
+def _headed(kind: int, data: np.ndarray, offsets: np.ndarray, counts: np.ndarray) -> memoryview:
+    """Each item of data as a list of its own, of so many items; offsets are in bytes."""
     out, starts = _spread(data, offsets, 6, 0)
-    counts = (np.diff(offsets) // width).astype("<i4").view(np.uint8).reshape(-1, 4)
+    sizes = counts.astype("<i4").view(np.uint8).reshape(-1, 4)
     out[starts] = kind
     for j in range(4):
-        out[starts + 2 + j] = counts[:, j]
-    return out.tobytes()
+        out[starts + 2 + j] = sizes[:, j]
+    return _raw(out)
 
 
-def _strings(array: pa.Array, code: int | None) -> bytes:
-    a = (pc.fill_null(array, "") if array.null_count else array).cast(pa.large_string())
+def _bytes(array: pa.Array, null: Any) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of strings or binary values, nulls as ``null``."""
+    a = pc.fill_null(array.cast(pa.binary()) if pa.types.is_fixed_size_binary(array.type) else array, null) if array.null_count else array
+    a = a.cast(pa.large_string() if isinstance(null, str) else pa.large_binary())
     n = len(a)
     offsets = np.frombuffer(a.buffers()[1], np.int64)[a.offset : a.offset + n + 1] if n else np.zeros(1, np.int64)
     raw = a.buffers()[2] if n else None
     data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None and raw.size else np.zeros(0, np.uint8)
-    offsets = offsets - offsets[0]
+    return data, offsets - offsets[0]
+
+
+def _symbols(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    if (data == 0).any():
+        raise EncodeError("a symbol can't hold a zero byte")
+    return _spread(data, offsets, 0, 1)[0]
+
+
+def _strings(array: pa.Array, code: int | None) -> list[Part]:
+    data, offsets = _bytes(array, "")
+    n = len(array)
     if code == 11:
-        if (data == 0).any():
-            raise EncodeError("a symbol can't hold a zero byte")
-        return _head(11, n) + _spread(data, offsets, 0, 1)[0].tobytes()
+        return [_head(11, n), _raw(_symbols(data, offsets))]
     if code == 10:
-        chars = [x.encode("latin-1") for x in a.to_pylist()]
-        if any(len(x) != 1 for x in chars):
-            raise EncodeError("a char column holds one character a row")
-        return _head(10, n) + b"".join(chars)
-    return _head(0, n) + _headed(10, data, offsets, 1)
+        if n != len(data) or (data > 127).any() or (np.diff(offsets) != 1).any():
+            chars = [x.encode("latin-1") for x in pc.fill_null(array, "").to_pylist()]
+            if any(len(x) != 1 for x in chars):
+                raise EncodeError("a char column holds one character a row")
+            data = np.frombuffer(b"".join(chars), np.uint8)
+        return [_head(10, n), _raw(data)]
+    return [_head(0, n), _headed(10, data, offsets, np.diff(offsets))]
 
 
-def _lists(array: pa.Array) -> bytes:
+def _lists(array: pa.Array) -> list[Part]:
     """A list of lists of one kind; a null list is an empty one."""
     inner = array.type.value_type
     field = array.type.value_field
@@ -522,10 +583,14 @@ def _lists(array: pa.Array) -> bytes:
     if pa.types.is_nested(inner):
         raise EncodeError("lists nest one level at most")
     sizes = pc.fill_null(pc.list_value_length(array), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    if pa.types.is_string(inner) or pa.types.is_large_string(inner) or pa.types.is_binary(inner):
-        parts = [encode_array(pa.array(x or [], inner), code if code is not None else 11) for x in array.to_pylist()]
-        return _head(0, len(parts)) + b"".join(parts)
-    whole = encode_array(array.flatten(), code)
-    kind, width = whole[0], KINDS[whole[0]].width
-    offsets = np.concatenate([[0], np.cumsum(sizes)]) * width
-    return _head(0, len(sizes)) + _headed(kind, np.frombuffer(whole, np.uint8)[6:], offsets, width)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    if pa.types.is_string(inner) or pa.types.is_large_string(inner):
+        if code not in (None, 11):
+            return [_head(0, len(array)), *(p for x in array.to_pylist() for p in _array(pa.array(x or [], inner), code))]
+        data, offsets = _bytes(array.flatten(), "")
+        kind, data, ends, counts = 11, _symbols(data, offsets), (offsets + np.arange(len(offsets)))[ends], sizes
+    else:
+        head, body = _array(array.flatten(), code)
+        kind, data, counts = head[0], np.frombuffer(body, np.uint8), sizes
+        ends = ends * KINDS[kind].width
+    return [_head(0, len(sizes)), _headed(kind, data, ends, counts)]

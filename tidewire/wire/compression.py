@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import struct
 
+import numpy as np
+
 from ..errors import DecodeError
 
 #: Shorter messages stay as they are; the header's mode for lengths of 4 and of 8 bytes.
@@ -24,6 +26,9 @@ def compress(message: bytes) -> bytes:
     out = bytearray(16 if wide else 12)
     out[0], out[1], out[2] = message[0], message[1], LONG_MODE if wide else SHORT_MODE
     struct.pack_into("<Q" if wide else "<I", out, 8, size)
+    # The exclusive or of each byte and the next, for all places at once.
+    flat = np.frombuffer(message, np.uint8)
+    pairs = (flat[:-1] ^ flat[1:]).tobytes()
     known, late, pos = [0] * 256, None, 8
     while pos < size:
         if len(out) > size // 2 - 17:
@@ -35,16 +40,18 @@ def compress(message: bytes) -> bytes:
                 break
             pair, source = 0, 0
             if size - pos >= 3:
-                pair = message[pos] ^ message[pos + 1]
+                pair = pairs[pos]
                 source = known[pair]
             if late is not None:
                 known[late[0]] = late[1]
                 late = None
             if source and message[source] == message[pos]:
                 known[pair] = pos
-                run, most = 0, min(255, size - pos - 2)
-                while run < most and message[source + 2 + run] == message[pos + 2 + run]:
-                    run += 1
+                run = min(255, size - pos - 2)
+                a, b = message[source + 2 : source + 2 + run], message[pos + 2 : pos + 2 + run]
+                if a != b:
+                    differ = int.from_bytes(a, "little") ^ int.from_bytes(b, "little")
+                    run = ((differ & -differ).bit_length() - 1) >> 3
                 flags |= 1 << bit
                 out += bytes((pair, run))
                 pos += 2 + run
@@ -72,16 +79,24 @@ def decompress(body: bytes, wide: bool = False) -> bytes:
             for bit in range(8):
                 if len(out) >= size:
                     break
+                if not flags >> bit:
+                    # Literals to the end of the group; their places become known before the next copy looks.
+                    n = min(8 - bit, size - len(out))
+                    if at + n > len(body):
+                        raise IndexError
+                    out += body[at : at + n]
+                    at += n
+                    break
                 if not flags >> bit & 1:
                     out.append(body[at])
                     at += 1
-                    while fresh < len(out) - 1:
-                        known[out[fresh] ^ out[fresh + 1]] = fresh
-                        fresh += 1
                     continue
+                start = len(out)
+                while fresh < start - 1:
+                    known[out[fresh] ^ out[fresh + 1]] = fresh
+                    fresh += 1
                 source, run = known[body[at]], body[at + 1]
                 at += 2
-                start = len(out)
                 if source + 2 > start:
                     raise DecodeError("a copy from bytes that aren't there yet")
                 if source + 2 + run <= start:

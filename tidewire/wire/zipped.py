@@ -11,7 +11,7 @@ import struct
 import pyarrow as pa
 
 from ..errors import DecodeError, EncodeError
-from .codec import decode_at, encode_table
+from .codec import decode_at, encode
 
 #: The mark of a compressed file, of a plain one, and the algorithm that is read.
 MAGIC, PLAIN, LZ4 = b"kxzipped", b"\xff\x01", 4
@@ -41,7 +41,7 @@ def unzip(data: bytes) -> bytes:
 
 def zip_table(table: pa.Table, block_log2: int | None = None) -> bytes:
     """A file of the table; in LZ4 blocks of 2**block_log2 bytes (16, 18, 20 or 22) if given."""
-    plain = PLAIN + encode_table(table)
+    plain = PLAIN + encode(table)
     if block_log2 is None:
         return plain
     if block_log2 not in (16, 18, 20, 22):
@@ -53,11 +53,11 @@ def zip_table(table: pa.Table, block_log2: int | None = None) -> bytes:
     return body + struct.pack("<IBBHQQQ", 3, LZ4, 6, 0, len(plain), len(body) + 8 * (len(parts) + 5), block) + sizes + struct.pack("<Q", len(parts))
 
 
-def read_table_bytes(data: bytes, nested_inf_null: bool = False) -> pa.Table:
-    """The table of a whole file."""
+def read_table_bytes(data: bytes, nested_inf_null: bool = False, columns: frozenset[str] | None = None) -> pa.Table:
+    """The table of a whole file, or only those columns."""
     if data[:8] == MAGIC:
         data = unzip(data)
-    value, _ = decode_at(data, 2, nested_inf_null)
+    value, _ = decode_at(data, 2, nested_inf_null, columns)
     if not isinstance(value, pa.Table):
         raise DecodeError("the file doesn't hold a table")
     return value
