@@ -58,8 +58,8 @@ class Examples:
     READ at a time, so the driver never holds all of them, however long their texts."""
 
     def __init__(self, rows: DataFrame, most: int):
-        """most: a bound on their number."""
-        order = (F.xxhash64(F.lit(3), "key"), F.col("idx"), F.col("val"), F.col("label"))
+        """Keys are distinct; most: a bound on their number."""
+        order = (F.xxhash64(F.lit(3), "key"), F.col("key"))
         rows = rows.select("key", "idx", "val", "label").repartitionByRange(max(1, -(-most // PART)), *order).sortWithinPartitions(*order)
         self.fs, self.path = C.open_fs(C.write_table(rows, "examples")._written)
 
