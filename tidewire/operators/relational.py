@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof_join(left: DataFrame, right: DataFrame, on: str, by: Sequence[str], columns: Sequence[str], right_on: str | None = None, salt_seconds: int | None = None) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, on: str, by: Sequence[str], columns: Sequence[str], right_on: str | None = None, salt_seconds: int | None = 86400) -> DataFrame:
     """Each left row with the columns of the last right row of its group at or before its time; null if there is none.
 
-    Both sides are one union, shuffled once by group and sorted by time; the last known value is carried forward. With
-    ``salt_seconds`` a group is cut into slices of time, so that a hot one is in many tasks: each slice starts with the
-    last right row of those before it, which are found among one row a slice. A slice covers at least 1 second.
+    Both sides are one union, sorted by time within a group; the last known value is carried forward. A group is cut into
+    slices of ``salt_seconds``, so that a hot one is in many tasks: each slice starts with the last right row of those
+    before it, which are found among one row a slice. Without slices (None) a group is one task, with one shuffle less.
     """
     right_on = right_on or on
     names = [c for c in left.columns]

@@ -51,8 +51,16 @@ def compressed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.roundtrip(both, compressed=True, symbols=("n_name",))
 
 
-@query("message_sizes", "SELECT l_returnflag, count(*) AS n_rows FROM lineitem GROUP BY 1")
+@query("message_sizes", "SELECT count(*) AS n_rows, CAST(sum(length(l_returnflag) + 1 + 8) AS BIGINT) AS n_bytes FROM lineitem")
 def message_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of update messages beyond the 80 that each has without rows: a symbol with its end, and a float."""
+    rows = read(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity")
+    sent = tables.encode_messages(rows, "async", target="lineitem", symbols=("l_returnflag",))
+    return sent.agg(F.sum("n_rows").alias("n_rows"), F.sum(F.length("payload") - 80).alias("n_bytes"))
+
+
+@query("update_rows", "SELECT l_returnflag, count(*) AS n_rows FROM lineitem GROUP BY 1")
+def update_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of update messages by a symbol column, counted after decoding."""
     rows = read(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity")
     sent = tables.encode_messages(rows, "async", target="lineitem", symbols=("l_returnflag",))
@@ -84,8 +92,9 @@ def _marked(kind: str, key: str):
 
 for _k in _MARK:
     query(f"null_{_k}", f"SELECT p_partkey, CAST(CASE WHEN p_partkey % 5 < 3 THEN NULL ELSE p_partkey % 1000 END AS {_MARK[_k][0]}) AS v FROM part")(
-        lambda s, d, k=_k: tables.roundtrip(read(s, d, "part").select("p_partkey", _marked(k, "p_partkey").alias("v"))).select("p_partkey", rules.integer(F.col("v"), k).alias("v"))
+        lambda s, d, k=_k: tables.roundtrip(read(s, d, "part").select("p_partkey", _marked(k, "p_partkey").alias("v")))
     )
+    query(f"rule_null_{_k}", SQL[f"null_{_k}"])(lambda s, d, k=_k: read(s, d, "part").select("p_partkey", rules.integer(_marked(k, "p_partkey"), k).alias("v")))
 
 
 @query("nested_long_keeps_inf", "SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 5 = 1 THEN -9223372036854775807 WHEN p_partkey % 5 = 2 THEN 9223372036854775807 ELSE p_partkey % 1000 END AS inner_v, p_partkey AS second FROM part")
@@ -107,6 +116,19 @@ def epoch_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", rules.epoch_date(F.col("p_partkey").cast("int")).alias("day"))
 
 
+@query("wire_dates", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders")
+def wire_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.roundtrip(read(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day")))
+
+
+@query("wire_times", "SELECT event_id, CAST(epoch_us(ts) % 86400000000 // 1000 AS BIGINT) AS ms FROM events")
+def wire_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times of day, which the format keeps to the millisecond."""
+    back = tables.roundtrip(read(spark, sf_dir, "events").select("event_id", F.date_format("ts", "HH:mm:ss.SSSSSS").cast("time(6)").alias("t")))
+    part = lambda n, unit: F.date_part(F.lit(n), "t").cast("decimal(20,6)") * unit
+    return back.select("event_id", (part("HOUR", 3_600_000) + part("MINUTE", 60_000) + part("SECOND", 1000)).cast("long").alias("ms"))
+
+
 @query("epoch_timestamp", "SELECT event_id, epoch_us(ts) AS us FROM events")
 def epoch_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = tables.roundtrip(read(spark, sf_dir, "events").select("event_id", "ts"))
@@ -182,6 +204,49 @@ def keyed_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qexpr.keyed_concat(read(spark, sf_dir, "nation").select("n_nationkey", "n_name"), values, "n_nationkey")
 
 
+@query("til", "SELECT range AS x, 2 * range + 1 AS odd FROM range(1000)")
+def til(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qexpr.functional_update(qexpr.til(spark, 1000), {"odd": 2 * F.col("x") + 1})
+
+
+@query("random_below", "SELECT count(*) AS n, TRUE AS within, TRUE AS spread FROM range(10000)")
+def random_below(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``10000?5.0``: all below 5, and of about the mean that they should have."""
+    rows = qexpr.random_floats(qexpr.til(spark, 10000), 5.0, "v", 7)
+    return rows.agg(F.count("*").alias("n"), F.min((F.col("v") >= 0) & (F.col("v") < 5)).alias("within"), (F.abs(F.avg("v") - 2.5) < 0.1).alias("spread"))
+
+
+@query("vector_column", "SELECT range AS x, CAST(5 AS BIGINT) AS n, TRUE AS within FROM range(1000)")
+def vector_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column of five random floats a row, through the wire format."""
+    back = tables.roundtrip(qexpr.vectors(qexpr.til(spark, 1000), 5, "v", 3))
+    return back.select("x", F.size("v").cast("long").alias("n"), F.forall("v", lambda y: (y >= 0) & (y < 1)).alias("within"))
+
+
+@query("enlist", "SELECT 'a' AS sym, CAST(3 AS BIGINT) AS n, 2.5::DOUBLE AS price")
+def enlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.roundtrip(qexpr.enlist(spark, {"sym": "a", "n": 3, "price": 2.5}, "sym string, n long, price double"), symbols=("sym",))
+
+
+@query("table_literal", "SELECT * FROM (VALUES ('a', CAST(1 AS BIGINT), TRUE), ('b', NULL, FALSE), ('', CAST(3 AS BIGINT), TRUE)) t(sym, n, flag)")
+def table_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.roundtrip(spark.createDataFrame([("a", 1, True), ("b", None, False), (None, 3, True)], "sym string, n long, flag boolean"), symbols=("sym",))
+
+
+@query("cross_names", "SELECT s || n AS name FROM (VALUES ('ask'), ('bid')) a(s), (SELECT CAST(range AS VARCHAR) AS n FROM range(5))")
+def cross_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of columns: each side with each number."""
+    sides = spark.createDataFrame([("ask",), ("bid",)], "s string")
+    return sides.crossJoin(F.broadcast(qexpr.til(spark, 5, "n"))).select(F.concat("s", F.col("n").cast("string")).alias("name"))
+
+
+@query("typed_empty", "SELECT CAST(0 AS BIGINT) AS n_rows, CAST(3 AS BIGINT) AS n_columns")
+def typed_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of typed columns without rows keeps its columns."""
+    empty = tables.roundtrip(spark.createDataFrame([], "sym string, n long, v array<double>"), symbols=("sym",))
+    return empty.agg(F.count("*").alias("n_rows")).withColumn("n_columns", F.lit(len(empty.columns)).cast("long"))
+
+
 # -- relational work, which is Spark's own ----------------------------------------------------
 
 
@@ -200,19 +265,29 @@ def sql_query(name: str, text: str, names: str, oracle: str | None = None) -> No
 sql_query("join_inner", "SELECT o_orderkey, c_name, c_mktsegment FROM {orders} JOIN {customer} ON o_custkey = c_custkey", "orders customer")
 sql_query("join_left", "SELECT c_custkey, o_orderkey FROM {customer} LEFT JOIN {orders} ON c_custkey = o_custkey AND o_totalprice > 400000", "customer orders")
 sql_query("join_semi", "SELECT c_custkey, c_name FROM {customer} WHERE EXISTS (SELECT 1 FROM {orders} WHERE o_custkey = c_custkey AND o_orderstatus = 'F')", "customer orders")
-sql_query("join_anti", "SELECT c_custkey, c_name FROM {customer} WHERE NOT EXISTS (SELECT 1 FROM {orders} WHERE o_custkey = c_custkey)", "customer orders")
+sql_query("join_anti", "SELECT c_custkey, c_name FROM {customer} WHERE NOT EXISTS (SELECT 1 FROM {orders} WHERE o_custkey = c_custkey AND o_totalprice > 400000)", "customer orders")
 sql_query("agg_distinct", "SELECT l_returnflag, count(*) AS n, count(DISTINCT l_suppkey) AS suppliers, max(l_quantity) AS most, min(l_shipdate) AS first_ship FROM {lineitem} GROUP BY l_returnflag", "lineitem")
 sql_query("rollup_flags", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM {lineitem} GROUP BY ROLLUP (l_returnflag, l_linestatus)", "lineitem")
 sql_query("cube_flags", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM {lineitem} GROUP BY CUBE (l_returnflag, l_linestatus)", "lineitem")
 sql_query("window_rank", "SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS nth, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS previous FROM {orders}", "orders", "SELECT o_orderkey, o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS nth, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS previous FROM orders")
 sql_query("topk", "SELECT o_orderkey, o_totalprice FROM {orders} ORDER BY o_totalprice DESC, o_orderkey LIMIT 10", "orders")
 sql_query("setop_intersect", "SELECT c_nationkey AS k FROM {customer} INTERSECT SELECT s_nationkey AS k FROM {supplier}", "customer supplier")
-sql_query("setop_except", "SELECT c_custkey AS k FROM {customer} EXCEPT SELECT o_custkey AS k FROM {orders}", "customer orders")
+sql_query("setop_except", "SELECT c_custkey AS k FROM {customer} EXCEPT SELECT o_custkey AS k FROM {orders} WHERE o_totalprice > 400000", "customer orders")
 sql_query("setop_union", "SELECT c_nationkey AS k FROM {customer} UNION SELECT s_nationkey AS k FROM {supplier}", "customer supplier")
 sql_query("subquery_cte", "WITH t AS (SELECT o_custkey, max(o_totalprice) AS top FROM {orders} GROUP BY o_custkey) SELECT c_custkey, top FROM {customer} JOIN t ON c_custkey = o_custkey WHERE top > (SELECT avg(o_totalprice) FROM {orders})", "customer orders")
 sql_query("string_functions", "SELECT p_partkey, upper(p_name) AS up, substring(p_brand, 1, 5) AS head, length(p_type) AS n FROM {part}", "part", "SELECT p_partkey, upper(p_name) AS up, substring(p_brand, 1, 5) AS head, CAST(length(p_type) AS INTEGER) AS n FROM part")
 sql_query("json_field", "SELECT event_id, CAST(get_json_object(props, '$.k') AS INT) AS k FROM {events}", "events", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")
 
+sql_query("join_cross", "SELECT n_name, r_name FROM {nation} CROSS JOIN {region}", "nation region")
+sql_query("agg_approx", "SELECT l_returnflag, abs(approx_count_distinct(l_partkey) - count(DISTINCT l_partkey)) <= 0.15 * count(DISTINCT l_partkey) AS near FROM {lineitem} GROUP BY l_returnflag", "lineitem", "SELECT DISTINCT l_returnflag, TRUE AS near FROM lineitem")
+sql_query("powers_and_logs", "SELECT p_partkey, round(pow(p_size, 1.5), 6) AS raised, round(ln(p_size + 1), 9) AS natural_log, round(log10(p_retailprice), 9) AS decimal_log FROM {part}", "part")
+sql_query(
+    "text_parts",
+    "SELECT p_partkey, regexp_replace(p_type, '[AEIOU]', '*') AS masked, split(p_type, ' ')[0] AS head, concat_ws('/', p_brand, p_type, NULL) AS path FROM {part}",
+    "part",
+    "SELECT p_partkey, regexp_replace(p_type, '[AEIOU]', '*', 'g') AS masked, string_split(p_type, ' ')[1] AS head, concat_ws('/', p_brand, p_type, NULL) AS path FROM part",
+)
+sql_query("json_struct", "SELECT event_id, j.k AS k, to_json(named_struct('k', j.k)) AS again FROM (SELECT event_id, from_json(props, 'k INT') AS j FROM {events})", "events", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, '{\"k\":' || json_extract_string(props, '$.k') || '}' AS again FROM events")
 sql_query("join_full", "SELECT c_custkey, o_orderkey FROM {customer} FULL JOIN (SELECT * FROM {orders} WHERE o_totalprice > 300000) o ON c_custkey = o_custkey", "customer orders")
 sql_query("join_theta", "SELECT s_suppkey, n_nationkey FROM {supplier} JOIN {nation} ON n_nationkey < s_nationkey AND s_acctbal > 1000", "supplier nation")
 sql_query("grouping_sets", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM {lineitem} GROUP BY GROUPING SETS ((l_returnflag), (l_linestatus), ())", "lineitem")
@@ -253,6 +328,18 @@ def udf_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").select("c_custkey", back("c_name").alias("back"))
 
 
+@query("udaf_arrow", "SELECT p_brand, CAST(max(p_size) - min(p_size) AS BIGINT) AS width FROM part GROUP BY p_brand")
+def udaf_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An aggregate of the caller's over the Arrow arrays of a group."""
+
+    @F.arrow_udf("long")
+    def width(sizes: pa.Array) -> int:
+        least, most = pc.min_max(sizes).as_py().values()
+        return most - least
+
+    return read(spark, sf_dir, "part").groupBy("p_brand").agg(width("p_size").alias("width"))
+
+
 @query("udtf_words", "SELECT p_partkey, CAST(nth AS INTEGER) AS nth, w[nth] AS word FROM (SELECT p_partkey, w, unnest(range(1, len(w) + 1)) AS nth FROM (SELECT p_partkey, string_split(p_type, ' ') AS w FROM part))")
 def udtf_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table function of the caller's, a row a word."""
@@ -287,7 +374,6 @@ def session_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.counts(read(spark, sf_dir, "events"), F.session_window("ts", "1 day"), "user_id")
 
 
-
 @query("asof_orders", "SELECT e.event_id, o.event_id AS click_id FROM events e ASOF LEFT JOIN (SELECT user_id, ts, max(event_id) AS event_id FROM events WHERE event_type = 'click' GROUP BY 1, 2) o ON e.user_id = o.user_id AND e.ts >= o.ts WHERE e.event_type = 'purchase'")
 def asof_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events")
