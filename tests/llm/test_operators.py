@@ -64,6 +64,15 @@ def clashes(spark, stage, edge, none):
     return rows
 
 
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda *_: None)})
+        sparkContext = type("Context", (), {"master": "spark://host:7077", "getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        C.shared_dir(Session)
+
+
 # -- 1 ----------------------------------------------------------------------------------------
 
 

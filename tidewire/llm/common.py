@@ -27,9 +27,12 @@ _U = np.uint64
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """URI of the folder all executors see: spark.checkpoint.dir, or if that is unset (tests) a new temporary one."""
+    """URI of the folder all executors see: spark.checkpoint.dir; if that is unset, in local mode alone, a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"spark.checkpoint.dir isn't set, and {master} has executors that don't see the driver's folders")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tidewire-"))
         found = spark.sparkContext.getCheckpointDir()
     return found if "://" in found or found.startswith("file:") else "file://" + os.path.abspath(found)
