@@ -348,6 +348,17 @@ def test_readers_pass_over_other_columns(spark, tmp_path):
         spark.read.format("tidewire").schema("missing long").load(str(tmp_path / "f")).collect()
 
 
+def test_other_formats_feed_the_wire(spark, tmp_path):
+    """Spark's own sources on either side of table files."""
+    binary_table.register(spark)
+    df = spark.read.parquet(f"{SMALL}/nation.parquet").select("n_nationkey", "n_name")
+    want = sorted(map(tuple, df.collect()))
+    for kind in ("csv", "json", "orc", "parquet"):
+        df.write.format(kind).save(str(tmp_path / kind))
+        spark.read.schema(df.schema).format(kind).load(str(tmp_path / kind)).write.format("tidewire").mode("append").save(str(tmp_path / f"{kind}-table"))
+        assert sorted(map(tuple, spark.read.format("tidewire").load(str(tmp_path / f"{kind}-table")).collect())) == want
+
+
 def test_upserts_cut_their_plan(spark):
     s = Session(spark)
     s.put("kept", spark.createDataFrame([(0, 0)], "k long, v long"), keys=("k",))

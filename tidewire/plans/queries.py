@@ -145,6 +145,29 @@ def time_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", rules.clock_us((F.col("p_partkey") * 100003 - 1000000).cast("int"), "time").alias("us"))
 
 
+_NS = F.col("p_partkey") * 1_234_567_891 - 500_000_000_000
+_NS_SQL = "(p_partkey * 1234567891 - 500000000000)"
+_US_SQL = f"CAST(({_NS_SQL} - (({_NS_SQL} % 1000) + 1000) % 1000) // 1000 AS BIGINT)"
+
+
+@query("rule_timestamp", f"SELECT p_partkey, {_US_SQL} + 946684800000000 AS at_us, {_US_SQL} AS span_us FROM part")
+def rule_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nanoseconds to microseconds, floored, also before the epoch."""
+    return read(spark, sf_dir, "part").select("p_partkey", rules.timestamp_us(_NS).alias("at_us"), rules.timespan_us(_NS).alias("span_us"))
+
+
+@query(
+    "rule_values",
+    "SELECT p_partkey, CASE WHEN p_partkey % 3 <> 0 THEN CAST(p_retailprice AS DOUBLE) END AS real, CASE WHEN p_partkey % 7 = 0 THEN '' ELSE p_name END AS symbol, upper(md5(CAST(p_partkey AS VARCHAR))) AS guid, CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 5 = 1 THEN -9223372036854775807 WHEN p_partkey % 5 = 2 THEN 9223372036854775807 ELSE p_partkey % 1000 END AS item FROM part",
+)
+def rule_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.unhex(F.md5(F.col("p_partkey").cast("string")))
+    real = F.when(F.col("p_partkey") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("p_retailprice").cast("double"))
+    name = F.when(F.col("p_partkey") % 7 != 0, F.col("p_name"))
+    item = F.element_at(rules.nested_integers(F.array(_marked("long", "p_partkey")), "long"), 1)
+    return read(spark, sf_dir, "part").select("p_partkey", rules.real(real).alias("real"), rules.symbol(name).alias("symbol"), F.hex(rules.guid_bytes(rules.guid_text(raw))).alias("guid"), item.alias("item"))
+
+
 @query("timespan", "SELECT p_partkey, CAST(p_partkey * 1234567 AS BIGINT) AS us FROM part")
 def timespan(spark: SparkSession, sf_dir: str) -> DataFrame:
     span = F.make_dt_interval(secs=(F.col("p_partkey") * 1234567 / 1000000).cast("decimal(18,6)"))
