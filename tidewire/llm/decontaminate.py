@@ -28,6 +28,7 @@ compared by cells of its size, so memory doesn't grow with them. Added columns t
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -320,9 +321,22 @@ def mark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out
 
 
+_made: dict[str, Items] = {}
+
+
+def _items(key: str, ids: list, texts: list[str]) -> Items:
+    """One block's tables a worker process, so they outlive a task."""
+    if key not in _made:
+        _made.clear()
+        _made[key] = Items(ids, texts)
+    return _made[key]
+
+
 def _marker(broadcast):
+    key = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(*broadcast.value)
+        items = _items(key, *broadcast.value)
         for b in batches:
             for lo, hi, data, offsets in C.chunks(b.column("text")):
                 d, i, e = search(items, data, offsets)

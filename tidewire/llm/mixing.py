@@ -10,7 +10,8 @@ one vector per shard; every block is thus used exactly once and no shard needs t
 disjoint runs of each source's permuted blocks, and rows are shuffled within their shard.
 
 The plan (blocks, quotas, shards) has at most MAX_BLOCKS blocks plus one per source, whatever the input, and is made
-on the driver; documents only ever meet it through a broadcast join of that bounded table.
+on the driver. Documents meet it by joins, in which tables of the plan are broadcast up to BROADCAST_ROWS rows; with more
+sources than that they are shuffled.
 
 Defined cases: null text has size 0; a null source is a source of its own, last in order; a source without words has
 target 0 and none of its documents are taken; rows with equal doc_id and source share their fate, and so do those
@@ -36,6 +37,7 @@ WEIGHTS = (1.0, 2.0, 3.0)
 MAX_REPEATS = 3
 #: Words a block should hold, the most blocks of a plan, and words a shard should hold; a shard holds a block at least.
 BLOCK_WORDS, MAX_BLOCKS, SHARD_WORDS = 1 << 16, 1 << 18, 1 << 20
+BROADCAST_ROWS = 1 << 19
 #: Documents that a source's blocks taken in part hold; share of the target that may be missed; documents that are left
 #: out as too long.
 EDGE, CLOSE, SKIPS = 64, 0.001, 64
@@ -87,6 +89,12 @@ def split_tree(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
+def _joined(spark, rows: list, schema) -> DataFrame:
+    """A table of the plan, to be broadcast if it is small."""
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= BROADCAST_ROWS else df
+
+
 def _rank(seed: int, *cols: Column) -> Column:
     return F.xxhash64(F.lit(seed), *cols)
 
@@ -103,8 +111,8 @@ def plan_mix(slim: DataFrame, source: str, size: str, doc_id: str, seed: int):
     block_words = max(BLOCK_WORDS, math.ceil(sum(sizes) / MAX_BLOCKS))
     blocks = [max(1, math.ceil(s / block_words)) for s in sizes]
     spark = slim.sparkSession
-    index = spark.createDataFrame([(r[0], i, blocks[i]) for i, r in enumerate(by_source)], T.StructType([T.StructField("source", T.StringType()), T.StructField("ix", T.IntegerType()), T.StructField("n_blocks", T.IntegerType())]))
-    placed = slim.join(F.broadcast(index), slim[source].eqNullSafe(index["source"])).select(F.col("ix"), F.col(size).alias("size"), F.col(doc_id).alias("id"), _rank(seed, F.col(doc_id)).alias("h"), "n_blocks")
+    index = _joined(spark, [(r[0], i, blocks[i]) for i, r in enumerate(by_source)], T.StructType([T.StructField("source", T.StringType()), T.StructField("ix", T.IntegerType()), T.StructField("n_blocks", T.IntegerType())]))
+    placed = slim.join(index, slim[source].eqNullSafe(index["source"])).select(F.col("ix"), F.col(size).alias("size"), F.col(doc_id).alias("id"), _rank(seed, F.col(doc_id)).alias("h"), "n_blocks")
     placed = placed.withColumn("block", F.pmod(F.shiftright("h", 20), F.col("n_blocks")).cast("int"))
     held, docs = {}, {}
     for r in placed.filter("size > 0").groupBy("ix", "block").agg(F.sum("size").alias("n"), F.count("*").alias("docs")).collect():
@@ -133,8 +141,8 @@ def plan_mix(slim: DataFrame, source: str, size: str, doc_id: str, seed: int):
         edge.append(perm[k:stop].tolist() if left else [])
         want.append(rest)
     # Blocks at the edge are taken up to the document where the words come nearest to what is still wanted.
-    edges = spark.createDataFrame([(i, e, float(want[i]), CLOSE * goal[i]) for i, own in enumerate(edge) for e in own] or [(-1, -1, 0.0, 0.0)], "ix int, block int, want double, close double")
-    near = placed.join(F.broadcast(edges), ["ix", "block"]).filter("size > 0").groupBy("ix", "h", "want", "close").agg(F.sum("size").alias("size"))
+    edges = _joined(spark, [(i, e, float(want[i]), CLOSE * goal[i]) for i, own in enumerate(edge) for e in own] or [(-1, -1, 0.0, 0.0)], "ix int, block int, want double, close double")
+    near = placed.join(edges, ["ix", "block"]).filter("size > 0").groupBy("ix", "h", "want", "close").agg(F.sum("size").alias("size"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = {r["ix"]: (r["cut"], r["skipped"]) for r in near.repartition(n, "ix").sortWithinPartitions("ix", "h").mapInArrow(_fill, "ix int, cut long, skipped array<long>").collect()}
     quotas = np.array([full[i] * blocks[i] + whole[i] + len(edge[i]) if sizes[i] else 0 for i in range(len(sizes))], np.int64)
@@ -220,11 +228,11 @@ def _mix(docs: DataFrame, seed: int, doc_id: str, source: str, text: str) -> tup
     slim = C.write_table(docs.select(F.col(doc_id).alias("id"), F.col(source).cast("string").alias("s"), n_words(F.col(text)).alias("n")), "mix-sizes")
     rows, plan, n_shards = plan_mix(slim, "s", "n", "id", seed)
     kind = T.StructType([T.StructField("k_source", T.StringType()), T.StructField("k_ix", T.IntegerType()), T.StructField("k_blocks", T.IntegerType()), T.StructField("k_size", T.LongType()), T.StructField("k_target", T.DoubleType()), T.StructField("k_cut", T.LongType()), T.StructField("k_skipped", T.ArrayType(T.LongType()))])
-    by_source = spark.createDataFrame(rows, kind)
-    by_block = spark.createDataFrame(plan, "k_ix int, k_block int, k_shards array<int>")
+    by_source = _joined(spark, rows, kind)
+    by_block = _joined(spark, plan, "k_ix int, k_block int, k_shards array<int>")
     me = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
     base = docs.select(me, docs[f"`{source}`"].cast("string").alias("k_src"), _rank(seed, docs[f"`{doc_id}`"]).alias("h"), n_words(docs[f"`{text}`"]).alias("n"))
-    out = base.join(F.broadcast(by_source), F.col("k_src").eqNullSafe(F.col("k_source")))
+    out = base.join(by_source, F.col("k_src").eqNullSafe(F.col("k_source")))
     out = _with_block(out, by_block)
     taken = F.filter(F.coalesce("k_shards", F.array().cast("array<int>")), lambda s: (s >= 0) | F.coalesce((F.col("h") <= F.col("k_cut")) & ~F.array_contains("k_skipped", F.col("h")), F.lit(False)))
     shards = F.transform(taken, lambda s: F.when(s < 0, -s - 1).otherwise(s))
@@ -234,7 +242,7 @@ def _mix(docs: DataFrame, seed: int, doc_id: str, source: str, text: str) -> tup
 def _with_block(out: DataFrame, by_block: DataFrame) -> DataFrame:
     out = out.withColumn("k_b", F.pmod(F.shiftright("h", 20), F.col("k_blocks")).cast("int"))
     plan = by_block.withColumnRenamed("k_ix", "p_ix")
-    return out.join(F.broadcast(plan), (F.col("k_ix") == F.col("p_ix")) & (F.col("k_b") == F.col("k_block")), "left")
+    return out.join(plan, (F.col("k_ix") == F.col("p_ix")) & (F.col("k_b") == F.col("k_block")), "left")
 
 
 def _copies(docs: DataFrame, seed: int) -> tuple[DataFrame, int]:

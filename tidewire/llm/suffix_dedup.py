@@ -18,7 +18,8 @@ in another document too, many of which are shorter than 400 bytes. They are coun
 
 Defined cases: null text is empty; texts shorter than LENGTH bytes lose nothing; equal texts of LENGTH bytes or more
 lose everything; rows are told apart by their text's two 64-bit hashes, so equal rows are occurrences of each other;
-a null doc_id is kept; an empty table gives an empty one; a very long text is read a PIECE at a time; other columns
+a null doc_id is kept; what is gathered of a text in one row, its repeated anchors and spans, is about as large as the
+text at most; an empty table gives an empty one; a very long text is read a PIECE at a time; other columns
 than doc_id and text are never read, whatever their names.
 """
 
