@@ -195,6 +195,20 @@ def test_targets():
     assert mixing.targets([0, 0], [1, 2]) == [0.0, 0.0] and mixing.targets([], []) == []
 
 
+def test_targets_are_the_only_ones_that_fit():
+    rng = random.Random(9)
+    for _ in range(200):
+        sizes = [rng.choice([0, 1, 5, 100, rng.randrange(1, 10**6)]) for _ in range(rng.randrange(1, 12))]
+        weights = [1.0 + i % 3 for i in range(len(sizes))]
+        got = mixing.targets(sizes, weights)
+        # The level at which min(weight x level, 3 x size) sums to all sizes, by halving.
+        lo, hi = 0.0, 10.0 * (sum(sizes) + 1)
+        for _ in range(200):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if sum(min(w * mid, 3 * n) for w, n in zip(weights, sizes)) < sum(sizes) else (lo, mid)
+        assert np.allclose(got, [min(w * hi, 3 * n) for w, n in zip(weights, sizes)], atol=1e-3), (sizes, got)
+
+
 def test_split_tree_is_exact_and_repeatable():
     q = np.array([7, 0, 100, 1])
     a, b = mixing.split_tree(q, 6, 5), mixing.split_tree(q, 6, 5)
@@ -521,6 +535,44 @@ def test_quality_model(spark, edge, none):
     assert quality_model.train(docs, odd).any()
 
 
+def plain_hash(raw):
+    data = np.frombuffer(raw, np.uint8)
+    return C.span_hash(C.prefix_hash(data), np.array([0]), np.array([len(data)]))[0]
+
+
+def test_quality_scores_equal_plain_dot_products(spark, edge):
+    weights = np.random.default_rng(2).normal(size=(1 << quality_model.BITS) + 1)
+    for r in quality_model.score(edge.select("doc_id", "text").filter("doc_id < 7 OR doc_id > 8"), weights).collect():
+        tokens, feats = re.findall(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff \t-\r]+", (r["text"] or "").encode()), []
+        word = [bool(re.match(rb"[0-9A-Za-z\x80-\xff]", x)) for x in tokens]
+        hashes = [int(plain_hash(x)) for x in tokens]
+        for i, h in enumerate(hashes):
+            if i and tokens[i] == tokens[i - 1] or i > 1 and word[i] and tokens[i] == tokens[i - 2]:
+                hashes[i] = None
+        hashes = [int(quality_model._SAME) if h is None else h for h in hashes]
+        pairs = [int(C.mix(np.array([(a * 0x9E3779B97F4A7C15 + b) % 2**64], np.uint64))[0]) for a, b in zip(hashes, hashes[1:])]
+        feats = [h >> (64 - quality_model.BITS) for h in [*hashes, *pairs]]
+        want = 1 / (1 + np.exp(-weights[-1] - quality_model.SCALE * (sum(weights[f] for f in feats) / max(1, len(feats)))))
+        assert abs(r["score"] - want) < 1e-9, r["doc_id"]
+
+
+def test_ftrl_equals_its_formula():
+    rng = np.random.default_rng(5)
+    m = ftrl.Ftrl(6, 1, 0.5, 1.0, 0.05, 0.1)
+    z, n = [0.0] * 6, [0.0] * 6
+    weight = lambda i: 0.0 if abs(z[i]) <= 0.05 else -(z[i] - np.sign(z[i]) * 0.05) / ((1.0 + n[i] ** 0.5) / 0.5 + 0.1)
+    for _ in range(50):
+        idx, val, y = rng.permutation(6)[:3], rng.normal(size=3), float(rng.integers(2))
+        m.step(idx, val, np.array([y]))
+        w = {int(i): weight(i) for i in idx}
+        p = 1 / (1 + np.exp(-sum(w[int(i)] * v for i, v in zip(idx, val))))
+        for i, v in zip(idx, val):
+            g = (p - y) * v
+            z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / 0.5 * w[int(i)]
+            n[i] += g * g
+    assert np.allclose(m.weights()[:, 0], [weight(i) for i in range(6)])
+
+
 def test_held_out_rows_teach_nothing(spark):
     docs = spark.createDataFrame([(i, f"word{i} and others") for i in range(40)], "doc_id long, text string")
     held = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 == 2]
@@ -709,6 +761,29 @@ def test_language_id(spark, edge, none):
     assert (lang_id.train(clashing).weights == lang_id.train(edge.repartition(5)).weights).all()
 
 
+def test_language_scores_equal_plain_dot_products(spark, edge):
+    rng = np.random.default_rng(7)
+    model = lang_id.Model(["aa", "bb", "cc"], rng.normal(size=(1 << lang_id.BITS, 3)), rng.normal(size=3), 1.7)
+    docs = edge.select("doc_id", "text").filter("doc_id NOT IN (7, 8)")
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in lang_id.predict(docs, model).collect():
+        plain = re.sub(r"[^\w]|[\d_]", " ", (text[r["doc_id"]] or "").lower())
+        chars = [ord(c) for c in re.sub(" +", " ", plain)]
+        feats = []
+        for k in (1, 2, 3):
+            for i in range(len(chars) - k + 1):
+                h = chars[i] * 0x9E3779B97F4A7C15 % 2**64
+                for c in chars[i + 1 : i + k]:
+                    h = int(C.mix(np.array([(h * 0xC2B2AE3D27D4EB4F + c * 0x9E3779B97F4A7C15) % 2**64], np.uint64))[0])
+                if k > 1 or chars[i] != 0x20:
+                    feats.append(h >> (64 - lang_id.BITS))
+        if not any(c != 0x20 for c in chars):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        p = ftrl.link((model.weights[feats].sum(axis=0) / len(feats) + model.bias) / 1.7)
+        assert r["lang_pred"] == model.langs[int(p.argmax())] and abs(r["score"] - p.max()) < 1e-9
+
+
 def test_every_language_is_sampled(spark, monkeypatch):
     rows = [(n, f"lang {n % 90} word{n % 90} text", f"l{n % 90:02d}") for n in range(900)] + [(5000 + n, "most of all documents", "big") for n in range(3000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
