@@ -39,7 +39,7 @@ def _letter_table() -> np.ndarray:
     blank; and which are marks."""
     if not _tables:
         t, marks = np.full(0x10000, 0x20, np.uint32), np.zeros(0x110000, bool)
-        for cp in range(0x110000):
+        for cp in (*range(0x20000), *range(0xE0000, 0xE1000)):  # other planes have no marks
             ch = chr(cp)
             kind = unicodedata.category(ch)[0]
             marks[cp] = kind == "M"
