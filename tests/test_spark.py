@@ -368,6 +368,16 @@ def test_upserts_cut_their_plan(spark):
     assert s.table("kept")._jdf.queryExecution().analyzed().toString().count("Join") <= 8
 
 
+def test_entry_imports_without_a_session():
+    import subprocess
+    import sys
+
+    from conftest import HERE
+
+    got = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()) >= len(e.oracle_sql()) > 60)"], cwd=HERE, capture_output=True, text=True)
+    assert got.stdout.strip() == "True", got.stderr
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 

@@ -145,7 +145,6 @@ def time_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", rules.clock_us((F.col("p_partkey") * 100003 - 1000000).cast("int"), "time").alias("us"))
 
 
-_NS = F.col("p_partkey") * 1_234_567_891 - 500_000_000_000
 _NS_SQL = "(p_partkey * 1234567891 - 500000000000)"
 _US_SQL = f"CAST(({_NS_SQL} - (({_NS_SQL} % 1000) + 1000) % 1000) // 1000 AS BIGINT)"
 
@@ -153,7 +152,8 @@ _US_SQL = f"CAST(({_NS_SQL} - (({_NS_SQL} % 1000) + 1000) % 1000) // 1000 AS BIG
 @query("rule_timestamp", f"SELECT p_partkey, {_US_SQL} + 946684800000000 AS at_us, {_US_SQL} AS span_us FROM part")
 def rule_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nanoseconds to microseconds, floored, also before the epoch."""
-    return read(spark, sf_dir, "part").select("p_partkey", rules.timestamp_us(_NS).alias("at_us"), rules.timespan_us(_NS).alias("span_us"))
+    ns = F.col("p_partkey") * 1_234_567_891 - 500_000_000_000
+    return read(spark, sf_dir, "part").select("p_partkey", rules.timestamp_us(ns).alias("at_us"), rules.timespan_us(ns).alias("span_us"))
 
 
 @query(

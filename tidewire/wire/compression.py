@@ -47,11 +47,14 @@ def compress(message: bytes) -> bytes:
                 late = None
             if source and message[source] == message[pos]:
                 known[pair] = pos
-                run = min(255, size - pos - 2)
-                a, b = message[source + 2 : source + 2 + run], message[pos + 2 : pos + 2 + run]
-                if a != b:
+                run, most = 0, min(255, size - pos - 2)
+                near = min(most, 16)
+                while run < near and message[source + 2 + run] == message[pos + 2 + run]:
+                    run += 1
+                if run == 16:  # the rest of a long run at once
+                    a, b = message[source + 18 : source + 2 + most], message[pos + 18 : pos + 2 + most]
                     differ = int.from_bytes(a, "little") ^ int.from_bytes(b, "little")
-                    run = ((differ & -differ).bit_length() - 1) >> 3
+                    run = most if a == b else 16 + ((differ & -differ).bit_length() - 1 >> 3)
                 flags |= 1 << bit
                 out += bytes((pair, run))
                 pos += 2 + run
