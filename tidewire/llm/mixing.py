@@ -1,23 +1,23 @@
 """Mixing sources to target weights with exact block quotas.
 
 Each source's documents fall into blocks by a hash of doc_id; a source is read ``full`` times whole and once in part:
-some blocks whole, and of some more, that hold EDGE documents together, those documents, in the order of their hash, that still fit, so that its words come
-to within CLOSE of the target. A document that doesn't fit is left out and the next is tried, up to SKIPS of them; at
-the end these and the last taken change sides, one or two at a time, while the words come nearer for it. The blocks so
-taken are the source's quota. A splitting tree deals the quotas to output
+some blocks whole, and of some more, that hold EDGE documents together, those documents, in the order of their hash,
+that still fit, so that its words come to within CLOSE of the target. A document that doesn't fit is left out and the
+next is tried, up to SKIPS of them; at the end these and the last taken change sides, one or two at a time, while the
+words come nearer for it. The blocks so taken are the source's quota. A splitting tree deals the quotas to output
 shards: at each node a multivariate-hypergeometric draw splits the node's quota vector between its two halves, down to
 one vector per shard; every block is thus used exactly once and no shard needs to see another's draw. Shards then get
 disjoint runs of each source's permuted blocks, and rows are shuffled within their shard.
 
-The plan (blocks, quotas, shards) has at most MAX_BLOCKS blocks plus one per source, whatever the input, and is made
-on the driver. Documents meet it by joins, in which tables of the plan are broadcast up to BROADCAST_ROWS rows; with more
+The plan (blocks, quotas, shards) has at most MAX_BLOCKS blocks plus one per source, whatever the input, and is made on
+the driver. Documents meet it by joins, in which tables of the plan are broadcast up to BROADCAST_ROWS rows; with more
 sources than that they are shuffled.
 
 Defined cases: null text has size 0; a null source is a source of its own, last in order; a source without words has
 target 0 and none of its documents are taken; rows with equal doc_id and source share their fate, and so do those
-without a doc_id; an empty table gives no rows; a text of any length is one document, which is taken whole or not;
-added columns take other names where docs has theirs. Every decision hashes doc_id, source and the seed, so reruns
-agree however rows are dealt.
+without a doc_id; of equally near choices at an edge the first by hash is taken; an empty table gives no rows; a text
+of any length is one document, which is taken whole or not; added columns take other names where docs has theirs. Every
+decision hashes doc_id, source and the seed, so reruns agree however rows are dealt.
 """
 
 from __future__ import annotations
