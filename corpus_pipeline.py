@@ -44,7 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, up to 3 times, in the shuffled order of its shard.
 
     Null and empty texts have no words, and go with their blocks; a null source is a source of its own; rows with one
-    doc_id and source, or without a doc_id, share their fate. Ties between sources' targets can't arise: each has its own.
+    doc_id and source, or without a doc_id, share their fate. Of equally near choices the first by hash is taken.
     """
     return mixing.mixed_documents(docs)
 
