@@ -1,22 +1,23 @@
 """URL filters: path rules by host, else a naive Bayes verdict on segmented host and path tokens.
 
-Host words are run together in names, so a unigram Viterbi search splits each into its likeliest words. The unigrams are
-the words of the pages' visible texts, counted over the whole table, and those of the labelled names below: no name is
-a word because it is a name. A word that isn't known costs as much as one of its length seen 10 times in 10**length.
+Host words are run together in names, so a unigram Viterbi search splits each into its likeliest words. The unigrams
+are the words of the pages' visible texts, counted over the whole table, and those of the labelled names below: no name
+is a word because it is a name. A word that isn't known costs as much as one of its length seen 10 times in 10**length.
 
 A multinomial naive Bayes model over the tokens of host and path scores the verdict. What is labelled is a fixed sample
 of names (LABELLED), none of the table's. From it the model learns what it can say of every URL of the table at first,
-and then, by one step of expectation maximisation, the odds of all the table's tokens: each URL counts for either side by
-its first probability. A token counts once a URL, so none is outvoted by a long one. So words that only occur beside labelled ones count too, and listed ones can be outweighed.
-
-All words and tokens keep their counts, in written tables. Each block of URLs is joined to the rows of its distinct names
-and tokens, so a word of every URL costs one row a block. Only words of at most SHORT_WORD letters (18,278 in all) and
-those of the labelled names are broadcast.
-
-Defined cases: a null URL, or one without "://", has empty host and path, no rule and is allowed; an empty host
-matches no rule; the longest rule that fits wins; repeated rows are judged alike; of equally likely cuts any is taken,
-always the same; a null text adds no words; an empty table gives no rows; names of any length are cut whole,
-in time that grows with MAX_WORD; other columns than page_id, url and html are never read, whatever their names.
+and then, by one step of expectation maximisation, the odds of all the table's tokens: each URL counts for either side
+by its first probability. A token counts once a URL, so none is outvoted by a long one. So words that only occur beside
+labelled ones count too, and listed ones can be outweighed.
+
+All words and tokens keep their counts, in written tables. Each block of URLs is joined to the rows of its distinct
+names and tokens, so a word of every URL costs one row a block. Only words of at most SHORT_WORD letters (18,278 in
+all) and those of the labelled names are broadcast.
+
+Defined cases: a null URL, or one without "://", has empty host and path, no rule and is allowed; an empty host matches
+no rule; the longest rule that fits wins; repeated rows are judged alike; of equally likely cuts any is taken, always
+the same; a null text adds no words; an empty table gives no rows; names of any length are cut whole, in time that
+grows with MAX_WORD; other columns than page_id, url and html are never read, whatever their names.
 """
 
 from __future__ import annotations
