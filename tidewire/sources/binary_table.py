@@ -5,7 +5,8 @@ file, 4,000,000 unless set). A schema given to the reader may name fewer columns
 whose columns differ from the schema fails.
 
 Tasks write hidden files, which readers pass over; the driver shows those of the attempts that count once all tasks have
-ended, so a task that is run again adds no rows twice. Overwriting removes the old files after that.
+ended, so a task that is run again adds no rows twice. Overwriting removes the old files after that. Files are shown one
+by one: if the driver is lost meanwhile, some of the new ones are there, beside the old ones where these were to go.
 """
 
 from __future__ import annotations
