@@ -763,7 +763,8 @@ def test_language_id(spark, edge, none):
 
 def test_language_scores_equal_plain_dot_products(spark, edge):
     rng = np.random.default_rng(7)
-    model = lang_id.Model(["aa", "bb", "cc"], rng.normal(size=(1 << lang_id.BITS, 3)), rng.normal(size=3), 1.7)
+    names = [f"l{n:02d}" for n in range(lang_id.AT_ONCE + 3)]
+    model = lang_id.Model(names, rng.normal(size=(1 << lang_id.BITS, len(names))), rng.normal(size=len(names)), 1.7)
     docs = edge.select("doc_id", "text").filter("doc_id NOT IN (7, 8)")
     text = {r["doc_id"]: r["text"] for r in docs.collect()}
     for r in lang_id.predict(docs, model).collect():

@@ -28,6 +28,8 @@ from .ftrl import Examples, Ftrl, counted, link
 
 BITS, SCALE = 16, 8.0
 MAX_ROWS, EPOCHS = 4000, 2
+#: Languages scored at a time.
+AT_ONCE = 8
 #: Parts of a language while its documents with the least hashes are sought.
 SALTS = 64
 _U = np.uint64
@@ -202,17 +204,21 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, on, rows, bias, temperature = sparse.value
-        w = np.zeros((len(bias), (1 << BITS) + 1))
-        w[:, on] = rows.T
+        # For AT_ONCE languages at a time a row a bucket; bucket -1 is the last, which is 0.
+        slabs = []
+        for lo in range(0, len(bias), AT_ONCE):
+            slabs.append(np.zeros(((1 << BITS) + 1, len(bias[lo : lo + AT_ONCE]))))
+            slabs[-1][on] = rows[:, lo : lo + AT_ONCE]
         for b in batches:
             for lo, hi, data, offsets in C.chunks(b.column("text")):
                 out, doc, letters, count = features(data, offsets)
                 n = hi - lo
-                total = np.zeros((n, len(bias)))
-                for k in range(len(bias)):
-                    # bucket -1 is the last column, which is 0
-                    per_char = w[k][out[0]] + w[k][out[1]] + w[k][out[2]]
-                    total[:, k] = np.bincount(doc, per_char, n) if len(doc) else 0.0
+                total, first = np.zeros((n, len(bias))), np.flatnonzero(np.diff(doc, prepend=-1))
+                for k, w in enumerate(slabs if len(doc) else ()):
+                    per_char = w[out[0]]
+                    per_char += w[out[1]]
+                    per_char += w[out[2]]
+                    total[doc[first], k * AT_ONCE : k * AT_ONCE + w.shape[1]] = np.add.reduceat(per_char, first, axis=0)
                 p = link((total / np.maximum(count, 1)[:, None] + bias) / temperature) if len(langs) != 1 else np.ones((n, 1))
                 best = p.argmax(axis=1)
                 none = (letters == 0) | (not langs)
