@@ -401,3 +401,26 @@ def test_queries_match_sql(spark):
         assert sorted(want.columns) == cols, name
         at = [want.columns.index(c) for c in cols]
         assert sorted(str([plain(r[c]) for c in cols]) for r in df.collect()) == sorted(str([plain(r[i]) for i in at]) for r in want.fetchall()), name
+
+
+def test_clocks_beyond_32_bits(spark, tmp_path):
+    import duckdb
+
+    from tidewire.functions import rules
+    from tidewire.plans.queries import QUERIES, SQL
+
+    keys = [0, 9, 10, 873, 874, 21483, 21484, 21485, 119_999, 1_199_999, 60_000_000_000]
+    spark.createDataFrame([(k,) for k in keys], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    want = sorted(con.sql(SQL["time_clamp"]).fetchall())
+    assert len(want) == len(keys) and sorted(tuple(r) for r in QUERIES["time_clamp"](spark, str(tmp_path)).collect()) == want
+
+    # the ends of an int and of a long, the null, and around each kind's day
+    last = 86_399_999_999
+    for kind, day, unit in (("minute", 1440, 60_000_000), ("second", 86_400, 1_000_000), ("time", 86_400_000, 1000)):
+        want = {-(1 << 63): 0, -(1 << 31): None, -(1 << 31) + 1: 0, -1: 0, 0: 0, 1: unit, day - 1: (day - 1) * unit, day: last, day + 1: last, (1 << 31) - 1: last, (1 << 63) - 1: last}
+        raw = spark.createDataFrame([(k,) for k in want], "raw long")
+        assert {r.raw: r.us for r in raw.select("raw", rules.clock_us(F.col("raw"), kind).alias("us")).collect()} == want
+        ints = raw.where("raw BETWEEN -2147483648 AND 2147483647").select("raw", rules.clock_us(F.col("raw").cast("int"), kind).alias("us")).collect()
+        assert len(ints) == len(want) - 2 and all(want[r.raw] == r.us for r in ints)

@@ -55,9 +55,10 @@ def datetime_us(raw_days: Column) -> Column:
 
 
 def clock_us(raw: Column, kind: str) -> Column:
-    """Microseconds of the day: below 0 is 0, beyond the day is its last microsecond."""
-    us = F.least(F.greatest(raw.cast("long") * (CLOCK_MS[kind] * 1000), F.lit(0)), F.lit(DAY_US - 1))
-    return F.when(raw != F.lit(BOUNDS["int"][0]), us)
+    """Microseconds of the day: below 0 is 0, beyond the day is its last microsecond. Longs are held as they are, beyond 32 bits too."""
+    unit = CLOCK_MS[kind] * 1000
+    held = F.least(F.greatest(raw.cast("long"), F.lit(0)), F.lit(DAY_US // unit))
+    return F.when(raw != F.lit(BOUNDS["int"][0]), F.least(held * unit, F.lit(DAY_US - 1)))
 
 
 def timespan_us(raw_ns: Column) -> Column:

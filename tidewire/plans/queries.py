@@ -142,7 +142,7 @@ def datetime_round_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("time_clamp", "SELECT p_partkey, least(greatest((p_partkey * 100003 - 1000000) * 1000, 0), 86399999999) AS us FROM part")
 def time_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "part").select("p_partkey", rules.clock_us((F.col("p_partkey") * 100003 - 1000000).cast("int"), "time").alias("us"))
+    return read(spark, sf_dir, "part").select("p_partkey", rules.clock_us(F.col("p_partkey") * 100003 - 1000000, "time").alias("us"))
 
 
 _NS_SQL = "(p_partkey * 1234567891 - 500000000000)"
